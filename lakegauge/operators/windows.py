@@ -66,6 +66,8 @@ def rolling_average(
     A window function over (well, sensor) would put the whole history of a
     hot sensor into one task. Here no task sees more than one slice of it:
 
+    A slice is named by its first microsecond.
+
     1. Readings are summed up per instant (combined map-side), which bounds a
        slice by its number of distinct microseconds.
     2. Instants are summed up per slice of ``slice_seconds``. A trailing
@@ -83,25 +85,26 @@ def rolling_average(
         raise ValueError("span_seconds must be two or more whole slices")
     sensor = ["well_id", "sensor_type"]
     span, width = span_seconds * _MICROS, slice_seconds * _MICROS
-    reach = span_seconds // slice_seconds
 
     instants = (
         readings.groupBy(*sensor, instant)
         .agg(F.sum("value").alias("total"), F.count("value").alias("n"))
         .withColumn("at", F.unix_micros(F.col(instant).cast("timestamp")))
-        .withColumn("slice", F.floor(F.col("at") / F.lit(width)).cast("bigint"))
+        .withColumn("slice", F.col("at") - F.pmod("at", F.lit(width)))
     )
 
     per_slice = instants.groupBy(*sensor, "slice").agg(
         F.sum("total").alias("total"), F.sum("n").alias("n")
     )
     full_slices = (
-        Window.partitionBy(*sensor).orderBy("slice").rangeBetween(1 - reach, -1)
+        Window.partitionBy(*sensor)
+        .orderBy("slice")
+        .rangeBetween(width - span, -width)
     )
     carried = per_slice.select(
         *sensor,
         "slice",
-        (F.col("slice") * width).alias("at"),
+        F.col("slice").alias("at"),
         F.lit("carried").alias("part"),
         F.lit(None).cast(instants.schema[instant].dataType).alias(instant),
         F.sum("total").over(full_slices).alias("total"),
@@ -111,14 +114,14 @@ def rolling_average(
     two_slices = F.array(
         F.struct(F.col("slice"), F.col("at"), F.lit("own").alias("part")),
         F.struct(
-            (F.col("slice") + reach).alias("slice"),
+            (F.col("slice") + span).alias("slice"),
             (F.col("at") + span).alias("at"),
             F.lit("oldest").alias("part"),
         ),
     )
-    parts = instants.withColumn("__two", two_slices).select(
-        *sensor, F.inline("__two"), instant, "total", "n"
-    )
+    # The outer form keeps Spark from adding a filter here, which would make
+    # this branch differ from the slice totals and shuffle the instants twice.
+    parts = instants.select(*sensor, F.inline_outer(two_slices), instant, "total", "n")
 
     in_slice = Window.partitionBy(*sensor, "slice")
     up_to_now = in_slice.orderBy("at").rangeBetween(

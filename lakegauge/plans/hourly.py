@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakegauge import schema as S
 from lakegauge import storage
-from lakegauge.functions.timeparts import previous_hour
+from lakegauge.functions.timeparts import ingest_path, previous_hour
 from lakegauge.operators import kpis, serving
 from lakegauge.operators.cleaning import REASON, clean_tagged, rejects, tag_rejects
 from lakegauge.operators.dedup import dedup_readings
@@ -80,11 +80,18 @@ def raw_to_clean(
         F.count(REASON).alias("rows_rejected"),
     )
     readings = dedup_readings(clean_tagged(tagged, stamp).drop(*S.INGEST_COLUMNS))
-    measured = readings.observe(
-        kept, *[m.alias(name) for name, m in kpis.quality_measures().items()]
-    )
+    measures = kpis.quality_measures()
+    measured = readings.observe(kept, *[m.alias(n) for n, m in measures.items()])
     write_silver(measured, roots.silver, hour)
 
+    if read_silver(spark, roots.silver, hour).isEmpty():
+        # Every row was unusable. Adaptive execution removes a branch it finds
+        # empty, observations included, so count what was written instead.
+        write_rejects(rejects(raw), roots.rejects, hour)
+        unusable = spark.read.parquet(ingest_path(roots.rejects, hour)).count()
+        counts = dict.fromkeys(measures, 0)
+        return {"rows_in": unusable, "rows_rejected": unusable, **counts}
+
     report = {**seen.get, **kept.get}
     unusable = rejects(raw)
     if not report["rows_rejected"]:
@@ -97,15 +104,19 @@ def raw_to_clean(
 def clean_to_kpis(
     spark: SparkSession, roots: Roots, hour: datetime, scope: str = "hour"
 ) -> bool:
-    """Write the three KPI tables of an hour; False when it has no readings.
+    """Write the three KPI tables of an hour; False when there is nothing to do.
 
+    That is when the hour has no readings, unless an earlier run wrote KPIs
+    for it: those are then replaced by empty tables.
     ``scope="day"`` takes the readings of the whole day so far. The readings
     are aggregated once into a facts table in the shared folder, a few rows
     per well, and all three tables come from that file.
     """
     use_utc(spark)
     readings = read_silver(spark, roots.silver, hour, scope)
-    if readings.isEmpty():
+    if readings.isEmpty() and not storage.exists(
+        spark, ingest_path(f"{roots.gold}/sensor_statistics", hour)
+    ):
         return False
     folder = new_folder(spark, "facts")
     kpis.sensor_facts(readings).write.parquet(folder)

@@ -46,4 +46,5 @@ def _read_hours(
     path = root if hour is None else ingest_path(root, hour, scope)
     if not storage.exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(path)
+    table = spark.read.schema(schema).option("basePath", root).parquet(path)
+    return table.select(*schema.names)  # directory columns come last otherwise

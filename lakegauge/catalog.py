@@ -64,14 +64,14 @@ def _plain(result: DataFrame) -> DataFrame:
     """
     columns = []
     for name, kind in result.dtypes:
-        column = F.col(f"`{name}`")
         if kind == "timestamp":
-            column = column.cast("timestamp_ntz")
-            name = "ts" if name == "timestamp" else name
+            renamed = "ts" if name == "timestamp" else name
+            columns.append(f"CAST(`{name}` AS TIMESTAMP_NTZ) AS `{renamed}`")
         elif kind.startswith("decimal"):
-            column = column.cast("double")
-        columns.append(column.alias(name))
-    return result.select(*columns)
+            columns.append(f"CAST(`{name}` AS DOUBLE) AS `{name}`")
+        else:
+            columns.append(f"`{name}`")
+    return result.selectExpr(*columns)
 
 
 def queries() -> dict[str, Query]:
@@ -95,19 +95,15 @@ def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hourly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts table as hourly runs would have filled it."""
-    hourly = X.readings(spark, sf_dir).withColumn(
-        "window_start", timeparts.hour_bucket(F.col("timestamp"))
-    )
-    alerts = (
-        kpis.with_severity(hourly)
-        .groupBy("window_start", "well_id", "sensor_type", "severity")
-        .agg(F.count("*").alias("alert_count"))
+    hourly = X.readings(spark, sf_dir).selectExpr(
+        "*", f"{timeparts.hour_bucket('timestamp')} AS window_start"
     )
+    alerts = kpis.alert_counts(hourly, ["window_start"])
     return serving.serving_alerts(alerts, F.col("window_start"))
 
 
 def _of_day(readings: DataFrame, day: datetime) -> DataFrame:
-    return readings.where(F.to_date("timestamp") == F.lit(day.date()))
+    return readings.where(f"to_date(timestamp) = DATE'{day:%Y-%m-%d}'")
 
 
 # Sources and sinks
@@ -143,8 +139,8 @@ def _written_silver(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 @_query
 def silver_scan(spark, sf_dir):
     silver = _written_silver(spark, sf_dir, new_folder(spark, "silver"))
-    return silver.groupBy("year", "month", "day", "hour", "well_id", "sensor_type").agg(
-        F.count("*").alias("reading_count"), F.max("value").alias("max_value")
+    return silver.groupBy(*S.INGEST_COLUMNS, "well_id", "sensor_type").agg(
+        F.expr("count(*) AS reading_count"), F.expr("max(value) AS max_value")
     )
 
 
@@ -163,51 +159,46 @@ def gold_snapshot(spark, sf_dir):
         for table in ("sensor_statistics", "well_health_scores", "alert_summary")
     )
 
-    def rows(table: DataFrame, name: str, item, count: str, figure) -> DataFrame:
-        return table.select(
-            F.lit(name).alias("table_name"),
-            "well_id",
-            item.alias("item"),
-            F.col(count).alias("row_count"),
-            figure.cast("double").alias("figure"),
-        )
-
-    label = F.concat_ws("/", "sensor_type", "severity")
     return (
-        rows(
-            statistics,
-            "sensor_statistics",
-            F.col("sensor_type"),
-            "reading_count",
-            F.col("stddev_value"),
+        statistics.selectExpr(
+            "'sensor_statistics' AS table_name",
+            "well_id",
+            "sensor_type AS item",
+            "reading_count AS row_count",
+            "stddev_value AS figure",
         )
-        .unionByName(
-            rows(
-                scores,
-                "well_health_scores",
-                F.col("status"),
+        .union(
+            scores.selectExpr(
+                "'well_health_scores'",
+                "well_id",
+                "status",
                 "total_readings",
-                F.col("health_score"),
+                "health_score",
+            )
+        )
+        .union(
+            alerts.selectExpr(
+                "'alert_summary'",
+                "well_id",
+                "concat_ws('/', sensor_type, severity)",
+                "alert_count",
+                "NULL",
             )
         )
-        .unionByName(rows(alerts, "alert_summary", label, "alert_count", F.lit(None)))
     )
 
 
 @_query
 def encode_messages_query(spark, sf_dir):
-    raw = X.to_raw(X.readings(spark, sf_dir))
-    body = F.col("value").cast("string")
-    fields = [name for name in S.RAW_COLUMNS if name != "well_id"]
-    return encode_messages(raw).select(
-        F.col("key").cast("string").alias("message_key"),
-        *[F.get_json_object(body, f"$.{name}").alias(name) for name in fields],
-    ).withColumns(
-        {
-            "depth_m": F.col("depth_m").cast("double"),
-            "value": F.col("value").cast("double"),
-            "is_anomaly": F.col("is_anomaly").cast("boolean"),
-        }
+    messages = encode_messages(X.to_raw(X.readings(spark, sf_dir)))
+    fields = [field for field in S.RAW_FIELDS if field.name != "well_id"]
+    return messages.selectExpr(
+        "CAST(key AS STRING) AS message_key",
+        *[
+            f"CAST(get_json_object(CAST(value AS STRING), '$.{field.name}') "
+            f"AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in fields
+        ],
     )
 
 
@@ -219,8 +210,8 @@ def decode_messages_query(spark, sf_dir):
 
 @_query
 def ingest_partitions(spark, sf_dir):
-    return X.readings(spark, sf_dir).select(
-        "event_id", *timeparts.ingest_columns(F.col("timestamp"))
+    return X.readings(spark, sf_dir).selectExpr(
+        "event_id", *timeparts.ingest_columns("timestamp")
     )
 
 
@@ -274,8 +265,8 @@ def alerts_append(spark, sf_dir):
 @_query
 def serving_cast(spark, sf_dir):
     typed = ["health_score", "avg_anomaly_rate", "total_readings", "total_anomalies"]
-    kinds = [F.typeof(name) for name in typed]
-    return _health(spark, sf_dir).withColumn("types", F.concat_ws(", ", *kinds))
+    kinds = ", ".join(f"typeof({name})" for name in typed)
+    return _health(spark, sf_dir).selectExpr("*", f"concat_ws(', ', {kinds}) AS types")
 
 
 # Projections, filters, labels
@@ -290,11 +281,11 @@ def clean_required(spark, sf_dir):
 @_query
 def parse_ts(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return raw.select(
-        F.col("timestamp").alias("text"),
+    return raw.selectExpr(
+        "timestamp AS text",
         "sensor_type",
         "value",
-        timeparts.parse_instant(F.col("timestamp")).alias("timestamp"),
+        f"{timeparts.parse_instant('timestamp')} AS timestamp",
     )
 
 

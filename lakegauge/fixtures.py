@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lakegauge import schema as S
-from lakegauge.functions.labels import in_valid_range
+from lakegauge.functions.labels import lookup, valid_range
 from lakegauge.sinks.bronze import write_bronze
 from lakegauge.sources.messages import encode_messages
 from lakegauge.workspace import new_folder
@@ -30,64 +29,54 @@ SENSOR_OF_EVENT = {
 # One well has a much lower anomaly limit, so that it is not healthy.
 ODD_WELL, ODD_LIMIT, LIMIT = 3, 20.0, 150.0
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+)
+
 _landed: dict[tuple[str, str, str], str] = {}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a file stream."""
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events*.parquet")
 
 
 def to_readings(table: DataFrame) -> DataFrame:
     """Clean readings, one per event."""
-    number = F.col("user_id") % len(S.WELLS) + 1
-    sensor = _lookup(F.col("event_type"), SENSOR_OF_EVENT)
-    units = {event: S.SENSOR_RULES[s].unit for event, s in SENSOR_OF_EVENT.items()}
-    limit = F.when(number == ODD_WELL, ODD_LIMIT).otherwise(LIMIT)
-    readings = table.select(
+    wells = dict(enumerate(S.WELLS, start=1))
+    sensors = {event: f"'{sensor}'" for event, sensor in SENSOR_OF_EVENT.items()}
+    units = {e: f"'{S.SENSOR_RULES[s].unit}'" for e, s in SENSOR_OF_EVENT.items()}
+    numbered = table.selectExpr("*", f"user_id % {len(wells)} + 1 AS number")
+    return numbered.selectExpr(
         "event_id",
-        F.concat(F.lit("WELL-"), F.lpad(number.cast("string"), 3, "0")).alias(
-            "well_id"
-        ),
-        _lookup(number, {i: w[1] for i, w in enumerate(S.WELLS, 1)}).alias("location"),
-        _lookup(number, {i: w[2] for i, w in enumerate(S.WELLS, 1)}).alias("depth_m"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        sensor.alias("sensor_type"),
+        "concat('WELL-', lpad(CAST(number AS STRING), 3, '0')) AS well_id",
+        f"{lookup('number', {n: repr(w[1]) for n, w in wells.items()})} AS location",
+        f"{lookup('number', {n: f'{w[2]}D' for n, w in wells.items()})} AS depth_m",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        f"{lookup('event_type', sensors)} AS sensor_type",
         "value",
-        _lookup(F.col("event_type"), units).alias("unit"),
-        (F.col("value") > limit).alias("is_anomaly"),
-    )
-    return readings.withColumn(
-        "value_valid", in_valid_range(F.col("sensor_type"), F.col("value"))
-    )
-
-
-def _lookup(column: Column, mapping: dict) -> Column:
-    chain = F
-    for key, result in mapping.items():
-        chain = chain.when(column == key, F.lit(result))
-    return chain
+        f"{lookup('event_type', units)} AS unit",
+        f"value > if(number = {ODD_WELL}, {ODD_LIMIT}D, {LIMIT}D) AS is_anomaly",
+    ).selectExpr("*", f"{valid_range()} AS value_valid")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_readings(events(spark, sf_dir))
 
 
-def iso_text(instant: Column) -> Column:
-    """Timestamps as producers write them."""
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+# Timestamps as producers write them.
+_ISO = """date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")"""
+_ISO_SECONDS = """date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss")"""
 
 
 def to_raw(table: DataFrame, *others: str) -> DataFrame:
     """Undamaged raw rows (text timestamps) of a readings table."""
-    return table.withColumn("timestamp", iso_text(F.col("timestamp"))).select(
-        *S.RAW_COLUMNS, *others
-    )
+    texts = [f"{_ISO} AS timestamp" if n == "timestamp" else n for n in S.RAW_COLUMNS]
+    return table.selectExpr(*texts, *others)
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,41 +85,31 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     All events once, one in ten a second time, and with missing, blank,
     padded or unreadable fields in some rows.
     """
-    once = readings(spark, sf_dir)
-    event = F.col("event_id")
-    deliveries = F.when(event % 10 == 3, 2).otherwise(1)
-    delivered = once.withColumn(
-        "delivery", F.explode(F.sequence(F.lit(1), deliveries))
+    delivered = readings(spark, sf_dir).selectExpr(
+        "*", "explode(sequence(1, if(event_id % 10 = 3, 2, 1))) AS delivery"
     )
-    padded = event % 13 == 1
-    blank_end = F.lit(" ")
-    return delivered.select(
-        F.when(event % 97 == 0, None)
-        .when(event % 89 == 0, "  ")
-        .when(padded, F.concat(blank_end, "well_id", blank_end))
-        .otherwise(F.col("well_id"))
-        .alias("well_id"),
-        F.when(event % 53 != 0, F.col("location")).alias("location"),
+    return delivered.selectExpr(
+        """CASE WHEN event_id % 97 = 0 THEN NULL
+                WHEN event_id % 89 = 0 THEN '  '
+                WHEN event_id % 13 = 1 THEN concat(' ', well_id, ' ')
+                ELSE well_id END AS well_id""",
+        "if(event_id % 53 = 0, NULL, location) AS location",
         "depth_m",
-        F.when(event % 101 == 0, "not-a-time")
-        .when(
-            event % 103 == 0, F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
-        )
-        .otherwise(iso_text(F.col("timestamp")))
-        .alias("timestamp"),
-        F.when(padded, F.concat(blank_end, F.upper("sensor_type")))
-        .otherwise(F.col("sensor_type"))
-        .alias("sensor_type"),
-        F.when(event % 107 != 0, F.col("value")).alias("value"),
+        f"""CASE WHEN event_id % 101 = 0 THEN 'not-a-time'
+                 WHEN event_id % 103 = 0 THEN {_ISO_SECONDS}
+                 ELSE {_ISO} END AS timestamp""",
+        """if(event_id % 13 = 1, concat(' ', upper(sensor_type)), sensor_type)
+             AS sensor_type""",
+        "if(event_id % 107 = 0, NULL, value) AS value",
         "unit",
-        F.when(event % 59 != 0, F.col("is_anomaly")).alias("is_anomaly"),
+        "if(event_id % 59 = 0, NULL, is_anomaly) AS is_anomaly",
     )
 
 
 def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undamaged raw rows with their arrival, in arrival order over 8 tasks."""
-    arriving = readings(spark, sf_dir).withColumn("arrival", F.col("timestamp"))
-    return to_raw(arriving, "arrival").repartitionByRange(8, "arrival")
+    arriving = to_raw(readings(spark, sf_dir), "timestamp AS arrival")
+    return arriving.repartitionByRange(8, "arrival")
 
 
 def _landed_once(

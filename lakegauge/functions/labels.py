@@ -4,71 +4,84 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from lakegauge import schema as S
-from lakegauge.functions.numeric import stable_round
+
+Rules = Mapping[str, S.SensorRule]
+
+
+def _number(x: float) -> str:
+    return f"({x!r}D)"
+
+
+def _text(x: str) -> str:
+    escaped = x.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def _case_by_sensor(sensor: Column, branches: Mapping[str, Column]) -> Column:
-    """CASE over the sensor type; NULL for a type without a branch."""
-    chain = F
-    for name, result in branches.items():
-        chain = chain.when(sensor == name, result)
-    return chain
+def lookup(key: str, results: Mapping, otherwise: str = "NULL") -> str:
+    """CASE over the values of ``key``; the results are SQL text."""
+    branches = " ".join(
+        f"WHEN {_text(k) if isinstance(k, str) else k} THEN {result}"
+        for k, result in results.items()
+    )
+    return f"CASE {key} {branches} ELSE {otherwise} END"
+
+
+def _between(value: str, bounds: tuple[float, float]) -> str:
+    low, high = bounds
+    return f"{value} BETWEEN {_number(low)} AND {_number(high)}"
 
 
-def in_valid_range(
-    sensor: Column, value: Column, rules: Mapping[str, S.SensorRule] = S.SENSOR_RULES
-) -> Column:
+def valid_range(
+    sensor: str = "sensor_type", value: str = "value", rules: Rules = S.SENSOR_RULES
+) -> str:
     """Inclusive range check; a sensor type without a rule is valid.
 
     NULL values give NULL and NaN gives false for the known types.
     """
-    checks = {name: value.between(*rule.valid) for name, rule in rules.items()}
-    return _case_by_sensor(sensor, checks).otherwise(F.lit(True))
+    checks = {name: _between(value, rule.valid) for name, rule in rules.items()}
+    return lookup(sensor, checks, "true")
 
 
 def value_band(
-    sensor: Column, value: Column, rules: Mapping[str, S.SensorRule] = S.SENSOR_RULES
-) -> Column:
+    sensor: str = "sensor_type", value: str = "value", rules: Rules = S.SENSOR_RULES
+) -> str:
     """``normal``, ``anomaly`` or ``between``; NULL for an unknown type."""
     bands = {
-        name: band_of(value, *(F.lit(b) for b in rule.normal + rule.anomaly))
+        name: band_of(value, *map(_number, rule.normal + rule.anomaly))
         for name, rule in rules.items()
     }
-    return _case_by_sensor(sensor, bands)
+    return lookup(sensor, bands)
 
 
-def band_of(
-    value: Column, low: Column, high: Column, odd_low: Column, odd_high: Column
-) -> Column:
+def band_of(value: str, low: str, high: str, odd_low: str, odd_high: str) -> str:
     """Band of a value given its normal and anomaly ranges."""
     return (
-        F.when(value.isNull() | low.isNull(), F.lit(None).cast("string"))
-        .when(value.between(low, high), "normal")
-        .when(value.between(odd_low, odd_high), "anomaly")
-        .otherwise("between")
+        f"CASE WHEN {value} IS NULL OR {low} IS NULL THEN NULL "
+        f"WHEN {value} BETWEEN {low} AND {high} THEN 'normal' "
+        f"WHEN {value} BETWEEN {odd_low} AND {odd_high} THEN 'anomaly' "
+        "ELSE 'between' END"
     )
 
 
-def alert_severity(value_valid: Column) -> Column:
+def alert_severity(value_valid: str = "value_valid") -> str:
     """CRITICAL only when the value is known to be out of range."""
-    return F.when(~value_valid, "CRITICAL").otherwise("WARNING")
+    return f"CASE WHEN NOT {value_valid} THEN 'CRITICAL' ELSE 'WARNING' END"
 
 
-def health_score(*losses: Column) -> Column:
-    """100 minus the losses, clamped to 0..100, one decimal."""
-    score = F.lit(100.0)
-    for loss in losses:
-        score = score - loss
-    return stable_round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)), 1)
+def health_score(losses: Mapping[str, float]) -> str:
+    """100 minus the losses, clamped to 0..100, before rounding.
+
+    ``losses`` maps a share (SQL text) to the points lost when it is 1.
+    """
+    terms = "".join(f" - {_number(points)} * {x}" for x, points in losses.items())
+    return f"greatest(0D, least(100D, 100D{terms}))"
 
 
-def health_status(score: Column) -> Column:
+def health_status(score: str = "health_score") -> str:
     """Status of an already rounded score."""
-    chain = F
-    for label, floor in S.STATUS_FLOORS:
-        chain = chain.when(score >= floor, label)
-    return chain.otherwise("CRITICAL")
+    branches = " ".join(
+        f"WHEN {score} >= {_number(floor)} THEN {_text(label)}"
+        for label, floor in S.STATUS_FLOORS
+    )
+    return f"CASE {branches} ELSE 'CRITICAL' END"

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def stable_round(x: Column, digits: int) -> Column:
+def rounded(x: str, digits: int) -> str:
     """Round half up to ``digits``, absorbing summation noise.
 
     A distributed sum of doubles ends in different last bits with different
@@ -14,15 +11,15 @@ def stable_round(x: Column, digits: int) -> Column:
     ``decimal(28,10)`` first removes noise below 1e-10. Values that do not
     fit the decimal (infinities, beyond 1e18) are rounded as doubles.
     """
-    exact = F.round(x.try_cast("decimal(28,10)"), digits).cast("double")
-    return F.coalesce(exact, F.round(x, digits))
+    exact = f"CAST(round(try_cast({x} AS DECIMAL(28,10)), {digits}) AS DOUBLE)"
+    return f"coalesce({exact}, round({x}, {digits}))"
 
 
-def share(part: Column, whole: Column) -> Column:
+def share(part: str, whole: str) -> str:
     """``part / whole`` as a double, NULL when ``whole`` is 0."""
-    return F.try_divide(part.cast("double"), whole.cast("double"))
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
 
 
-def percent(part: Column, whole: Column) -> Column:
+def percent(part: str, whole: str) -> str:
     """Percentage to one decimal, NULL on an empty input."""
-    return stable_round(F.lit(100.0) * share(part, whole), 1)
+    return rounded(f"100D * {share(part, whole)}", 1)

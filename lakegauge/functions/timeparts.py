@@ -4,49 +4,44 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from lakegauge.schema import INGEST_COLUMNS
 
 # Date and time of day are both required: Spark would otherwise read a bare
 # time as today and a bare year as its first of January.
-_DATE_AND_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"
+_DATE_AND_TIME = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"
 
 # The directory formats of the ingest partition columns.
 _INGEST_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
 
-def parse_instant(text: Column) -> Column:
-    """ISO-8601 string to timestamp, NULL when it is not one.
+def parse_instant(text: str) -> str:
+    """ISO-8601 text to a timestamp, NULL when it is not one.
 
     Accepts a missing fraction and zone suffixes; zone-less text is read in
     the session zone (UTC).
     """
-    return F.when(text.rlike(_DATE_AND_TIME), F.try_to_timestamp(text))
+    return (
+        f"CASE WHEN {text} RLIKE '{_DATE_AND_TIME}' THEN try_to_timestamp({text}) END"
+    )
 
 
-def ingest_columns(arrival: Column) -> list[Column]:
+def ingest_columns(arrival: str) -> list[str]:
     """Zero-padded year, month, day and hour strings of the arrival time."""
     return [
-        F.date_format(arrival, _INGEST_FORMATS[name]).alias(name)
+        f"date_format({arrival}, '{_INGEST_FORMATS[name]}') AS {name}"
         for name in INGEST_COLUMNS
     ]
 
 
-def hour_bucket(instant: Column) -> Column:
+def hour_bucket(instant: str) -> str:
     """Start of the hour an instant falls into."""
-    return F.date_trunc("hour", instant)
+    return f"date_trunc('hour', {instant})"
 
 
-def ingest_hour(
-    year: Column | str = "year",
-    month: Column | str = "month",
-    day: Column | str = "day",
-    hour: Column | str = "hour",
-) -> Column:
+def ingest_hour() -> str:
     """Timestamp of the ingest partition a row was read from."""
-    return F.to_timestamp(F.concat_ws(" ", year, month, day, hour), "yyyy MM dd HH")
+    columns = ", ".join(INGEST_COLUMNS)
+    return f"to_timestamp(concat_ws(' ', {columns}), 'yyyy MM dd HH')"
 
 
 def previous_hour(now: datetime | None = None) -> datetime:
@@ -70,21 +65,18 @@ def ingest_values(moment: datetime) -> dict[str, str]:
 def ingest_path(root: str, moment: datetime, scope: str = "hour") -> str:
     """Directory of an ingest hour (``scope="hour"``) or day (``"day"``)."""
     values = ingest_values(moment)
-    names = INGEST_COLUMNS[: _depth(scope)]
-    return "/".join([root.rstrip("/")] + [f"{name}={values[name]}" for name in names])
+    parts = [f"{name}={values[name]}" for name in _scope_columns(scope)]
+    return "/".join([root.rstrip("/"), *parts])
 
 
-def in_ingest_scope(moment: datetime, scope: str = "hour") -> Column:
+def in_ingest_scope(moment: datetime, scope: str = "hour") -> str:
     """Filter on the partition columns only, so that it prunes directories."""
     values = ingest_values(moment)
-    condition = F.lit(True)
-    for name in INGEST_COLUMNS[: _depth(scope)]:
-        condition = condition & (F.col(name) == values[name])
-    return condition
+    return " AND ".join(f"{name} = '{values[name]}'" for name in _scope_columns(scope))
 
 
-def _depth(scope: str) -> int:
+def _scope_columns(scope: str) -> list[str]:
     depths = {"day": 3, "hour": 4}
     if scope not in depths:
         raise ValueError(f"scope must be one of {sorted(depths)}, not {scope!r}")
-    return depths[scope]
+    return INGEST_COLUMNS[: depths[scope]]

@@ -8,68 +8,73 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge import schema as S
-from lakegauge.functions.labels import in_valid_range
+from lakegauge.functions.labels import valid_range
 from lakegauge.functions.timeparts import parse_instant
 
 REASON = "reject_reason"
 
 
+def _replaced(df: DataFrame, **expressions: str) -> DataFrame:
+    """All columns in order, some computed anew; unknown names are added."""
+    kept = [
+        f"{expressions[name]} AS {name}" if name in expressions else name
+        for name in df.columns
+    ]
+    added = [f"{x} AS {name}" for name, x in expressions.items() if name not in df.columns]
+    return df.selectExpr(*kept, *added)
+
+
+def _blank_to_null(text: str) -> str:
+    return f"nullif(trim({text}), '')"
+
+
 def normalise_strings(raw: DataFrame) -> DataFrame:
     """Trim ids, trim and lower sensor types; blank becomes NULL.
 
     Only spaces are trimmed. The other text columns stay as sent.
     """
-    return raw.withColumns(
-        {
-            "well_id": _blank_to_null(F.col("well_id")),
-            "sensor_type": _blank_to_null(F.lower("sensor_type")),
-        }
+    return _replaced(
+        raw,
+        well_id=_blank_to_null("well_id"),
+        sensor_type=_blank_to_null("lower(sensor_type)"),
     )
 
 
-def _blank_to_null(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
-
-
 def parse_timestamps(raw: DataFrame) -> DataFrame:
     """Replace the timestamp string by a timestamp, NULL when unreadable."""
-    return raw.withColumn("timestamp", parse_instant(F.trim("timestamp")))
+    return _replaced(raw, timestamp=parse_instant("trim(timestamp)"))
 
 
-def reject_reason(columns: list[str]) -> Column:
+def reject_reason(columns: list[str]) -> str:
     """Why a normalised raw row is unusable, NULL for a usable one.
 
     ``malformed``: the line was no JSON object. ``null_key``: well, sensor or
     timestamp missing. ``bad_timestamp``: present but unreadable.
     ``bad_value``: missing, not a number in JSON, or NaN.
     """
-    missing_key = (
-        F.col("well_id").isNull()
-        | F.col("sensor_type").isNull()
-        | _blank_to_null(F.col("timestamp")).isNull()
-    )
-    reasons = F
+    cases = {
+        "null_key": "well_id IS NULL OR sensor_type IS NULL "
+        f"OR {_blank_to_null('timestamp')} IS NULL",
+        "bad_timestamp": f"{parse_instant('trim(timestamp)')} IS NULL",
+        "bad_value": "value IS NULL OR isnan(value)",
+    }
     if S.CORRUPT in columns:
-        empty = F.coalesce(*[F.col(name).cast("string") for name in S.RAW_COLUMNS])
-        reasons = reasons.when(
-            F.col(S.CORRUPT).isNotNull() & empty.isNull(), "malformed"
-        )
-    return (
-        reasons.when(missing_key, "null_key")
-        .when(parse_instant(F.trim("timestamp")).isNull(), "bad_timestamp")
-        .when(F.col("value").isNull() | F.isnan("value"), "bad_value")
-    )
+        fields = ", ".join(f"CAST({name} AS STRING)" for name in S.RAW_COLUMNS)
+        unreadable = f"{S.CORRUPT} IS NOT NULL AND coalesce({fields}) IS NULL"
+        cases = {"malformed": unreadable, **cases}
+    branches = " ".join(f"WHEN {when} THEN '{name}'" for name, when in cases.items())
+    return f"CASE {branches} END"
 
 
 def tag_rejects(raw: DataFrame) -> DataFrame:
     """Normalised raw rows with a ``reject_reason`` column."""
     normal = normalise_strings(raw)
-    return normal.withColumn(REASON, reject_reason(normal.columns))
+    return _replaced(normal, **{REASON: reject_reason(normal.columns)})
 
 
 def rejects(raw: DataFrame) -> DataFrame:
     """Rows that cleaning leaves out, each with its reason and raw text."""
-    return tag_rejects(raw).where(F.col(REASON).isNotNull())
+    return tag_rejects(raw).where(f"{REASON} IS NOT NULL")
 
 
 def drop_incomplete(parsed: DataFrame) -> DataFrame:
@@ -79,13 +84,13 @@ def drop_incomplete(parsed: DataFrame) -> DataFrame:
 
 def flag_valid(readings: DataFrame) -> DataFrame:
     """Add ``value_valid``. Out-of-range readings are flagged, never dropped."""
-    return readings.withColumn(
-        "value_valid", in_valid_range(F.col("sensor_type"), F.col("value"))
-    )
+    return _replaced(readings, value_valid=valid_range())
 
 
 def add_audit(
-    readings: DataFrame, processed_at: datetime | Column, version: str = S.SILVER_VERSION
+    readings: DataFrame,
+    processed_at: datetime | Column,
+    version: str = S.SILVER_VERSION,
 ) -> DataFrame:
     """Stamp rows with the run time and the layout version."""
     return readings.withColumns(
@@ -98,7 +103,7 @@ def add_audit(
 
 def clean_tagged(tagged: DataFrame, processed_at: datetime | Column) -> DataFrame:
     """Clean readings from rows already tagged by :func:`tag_rejects`."""
-    usable = parse_timestamps(tagged.where(F.col(REASON).isNull()))
+    usable = parse_timestamps(tagged.where(f"{REASON} IS NULL"))
     return add_audit(flag_valid(usable.drop(REASON, S.CORRUPT)), processed_at)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge import schema as S
@@ -31,18 +31,16 @@ def dedup_readings(
     rest = [
         name for name in readings.columns if name not in key and name not in first
     ]
-    ordered = []
-    for name in [*first, *rest]:
-        ordered.append(F.col(name).isNull().alias(f"{name}__missing"))
-        ordered.append(F.col(name))
-    if not ordered:
+    if not first + rest:
         return readings.distinct()
-    smallest = F.min(F.struct(*ordered)).alias("__row")
+    ordered = [
+        f"isnull({name}) AS {name}__missing, {name}" for name in [*first, *rest]
+    ]
+    smallest = F.expr(f"min(struct({', '.join(ordered)})) AS __row")
     picked = [
-        F.col(name) if name in key else F.col(f"__row.{name}").alias(name)
-        for name in readings.columns
+        name if name in key else f"__row.{name} AS {name}" for name in readings.columns
     ]
-    return readings.groupBy(*key).agg(smallest).select(*picked)
+    return readings.groupBy(*key).agg(smallest).selectExpr(*picked)
 
 
 def dedup_rows(rows: DataFrame) -> DataFrame:
@@ -56,24 +54,19 @@ def drop_counts(raw: DataFrame) -> DataFrame:
     Copies are counted per natural key first and the groups are summed up
     next; all unusable rows share one group. Both steps combine map-side.
     """
-    tagged = parse_timestamps(tag_rejects(raw))
-    usable = F.col(REASON).isNull()
-    key = [F.when(usable, F.col(name)).alias(name) for name in S.READING_KEY]
-    copies = tagged.groupBy(usable.alias("usable"), *key).agg(
-        F.count("*").alias("copies")
+    usable = f"{REASON} IS NULL"
+    keyed = parse_timestamps(tag_rejects(raw)).selectExpr(
+        f"{usable} AS usable",
+        *[f"CASE WHEN {usable} THEN {name} END AS {name}" for name in S.READING_KEY],
     )
+    copies = keyed.groupBy("usable", *S.READING_KEY).agg(F.expr("count(*) AS copies"))
     counted = copies.agg(
-        _or_zero(F.sum("copies")).alias("rows_in"),
-        _or_zero(F.sum(F.when(F.col("usable"), F.col("copies")))).alias("rows_clean"),
-        F.count_if("usable").alias("rows_unique"),
+        F.expr("coalesce(sum(copies), 0) AS rows_in"),
+        F.expr("coalesce(sum(copies) FILTER (WHERE usable), 0) AS rows_clean"),
+        F.expr("count_if(usable) AS rows_unique"),
     )
-    return counted.withColumns(
-        {
-            "rows_dropped": F.col("rows_in") - F.col("rows_clean"),
-            "rows_duplicate": F.col("rows_clean") - F.col("rows_unique"),
-        }
+    return counted.selectExpr(
+        "*",
+        "rows_in - rows_clean AS rows_dropped",
+        "rows_clean - rows_unique AS rows_duplicate",
     )
-
-
-def _or_zero(total: Column) -> Column:
-    return F.coalesce(total, F.lit(0))

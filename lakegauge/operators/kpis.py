@@ -8,14 +8,14 @@ and small second aggregates of the facts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge import schema as S
 from lakegauge.functions import labels
-from lakegauge.functions.numeric import percent, share, stable_round
+from lakegauge.functions.numeric import percent, rounded, share
 
 FACT_KEY = ["well_id", "sensor_type", "location"]
 STATISTICS = [
@@ -28,34 +28,38 @@ STATISTICS = [
     "anomaly_rate",
 ]
 
+# A NULL flag counts as not set in all of these.
+_ANOMALOUS = "is_anomaly"
+_INVALID = "NOT value_valid"
+_VIBRATING = f"sensor_type = 'vibration' AND value > {S.VIBRATION_LIMIT}D"
+_STALLING = f"sensor_type = 'rpm' AND value < {S.RPM_LIMIT}D"
+
+
+def _named(measures: Mapping[str, str]):
+    """Columns from a mapping of names to SQL text."""
+    return [F.expr(f"{text} AS {name}") for name, text in measures.items()]
+
 
 def sensor_facts(readings: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Statistics and condition counts per well, sensor and location.
 
     ``extra_key`` adds grouping columns, such as a time window. Counts that a
-    caller does not select are pruned from the plan. A NULL flag counts as
-    not set.
+    caller does not select are pruned from the plan.
     """
-    anomalous = F.col("is_anomaly")
-    invalid = ~F.col("value_valid")
-    vibrating = (F.col("sensor_type") == "vibration") & (
-        F.col("value") > S.VIBRATION_LIMIT
-    )
-    stalling = (F.col("sensor_type") == "rpm") & (F.col("value") < S.RPM_LIMIT)
-    facts = readings.groupBy(*extra_key, *FACT_KEY).agg(
-        stable_round(F.avg("value"), 2).alias("avg_value"),
-        stable_round(F.min("value"), 2).alias("min_value"),
-        stable_round(F.max("value"), 2).alias("max_value"),
-        stable_round(F.stddev_samp("value"), 2).alias("stddev_value"),
-        F.count("*").alias("reading_count"),
-        F.count_if(anomalous).alias("anomaly_count"),
-        F.count_if(invalid).alias("invalid_count"),
-        F.count_if(anomalous & invalid).alias("critical_count"),
-        F.count_if(vibrating).alias("high_vibration_count"),
-        F.count_if(stalling).alias("low_rpm_count"),
-    )
-    rate = share(F.col("anomaly_count"), F.col("reading_count"))
-    return facts.withColumn("anomaly_rate", stable_round(rate, 4))
+    measures = {
+        "avg_value": rounded("avg(value)", 2),
+        "min_value": rounded("min(value)", 2),
+        "max_value": rounded("max(value)", 2),
+        "stddev_value": rounded("stddev_samp(value)", 2),
+        "reading_count": "count(*)",
+        "anomaly_count": f"count_if({_ANOMALOUS})",
+        "anomaly_rate": rounded(share(f"count_if({_ANOMALOUS})", "count(*)"), 4),
+        "invalid_count": f"count_if({_INVALID})",
+        "critical_count": f"count_if({_ANOMALOUS} AND {_INVALID})",
+        "high_vibration_count": f"count_if({_VIBRATING})",
+        "low_rpm_count": f"count_if({_STALLING})",
+    }
+    return readings.groupBy(*extra_key, *FACT_KEY).agg(*_named(measures))
 
 
 def statistics_of(facts: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
@@ -74,19 +78,19 @@ def well_rollup(statistics: DataFrame, extra_key: Sequence[str] = ()) -> DataFra
     Every sensor weighs the same however many readings it has.
     ``overall_avg_value`` mixes units and is kept only as published.
     """
-    return statistics.groupBy(*extra_key, "well_id", "location").agg(
-        stable_round(F.avg("anomaly_rate"), 4).alias("avg_anomaly_rate"),
-        stable_round(F.avg("avg_value"), 2).alias("overall_avg_value"),
-        F.sum("reading_count").alias("total_readings"),
-        F.sum("anomaly_count").alias("total_anomalies"),
-    )
+    measures = {
+        "avg_anomaly_rate": rounded("avg(anomaly_rate)", 4),
+        "overall_avg_value": rounded("avg(avg_value)", 2),
+        "total_readings": "sum(reading_count)",
+        "total_anomalies": "sum(anomaly_count)",
+    }
+    return statistics.groupBy(*extra_key, "well_id", "location").agg(*_named(measures))
 
 
 def health_scores(statistics: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Score from the anomaly rate alone, with its status, per well."""
     return _with_score(
-        well_rollup(statistics, extra_key),
-        S.ANOMALY_POINTS * F.col("avg_anomaly_rate"),
+        well_rollup(statistics, extra_key), {"avg_anomaly_rate": S.ANOMALY_POINTS}
     )
 
 
@@ -96,98 +100,88 @@ def health_scores_full(facts: DataFrame) -> DataFrame:
     The last two shares are over that sensor's readings only; a well without
     such a sensor loses nothing for it.
     """
-    of_sensor = {
-        name: F.sum(F.when(F.col("sensor_type") == name, F.col("reading_count")))
-        for name in ("vibration", "rpm")
+
+    def share_of(count: str, sensor: str | None = None) -> str:
+        of_sensor = f" FILTER (WHERE sensor_type = '{sensor}')" if sensor else ""
+        total = f"sum(reading_count){of_sensor}"
+        return f"coalesce({share(f'sum({count})', total)}, 0D)"
+
+    measures = {
+        "avg_anomaly_rate": rounded("avg(anomaly_rate)", 4),
+        "total_readings": "sum(reading_count)",
+        "invalid_share": share_of("invalid_count"),
+        "high_vibration_share": share_of("high_vibration_count", "vibration"),
+        "low_rpm_share": share_of("low_rpm_count", "rpm"),
+    }
+    points = {
+        "avg_anomaly_rate": S.ANOMALY_POINTS,
+        "invalid_share": S.INVALID_POINTS,
+        "high_vibration_share": S.VIBRATION_POINTS,
+        "low_rpm_share": S.RPM_POINTS,
     }
-    rolled = facts.groupBy("well_id", "location").agg(
-        stable_round(F.avg("anomaly_rate"), 4).alias("avg_anomaly_rate"),
-        F.sum("reading_count").alias("total_readings"),
-        _share_or_zero("invalid_count", F.sum("reading_count"), "invalid_share"),
-        _share_or_zero(
-            "high_vibration_count", of_sensor["vibration"], "high_vibration_share"
-        ),
-        _share_or_zero("low_rpm_count", of_sensor["rpm"], "low_rpm_share"),
-    )
     scored = _with_score(
-        rolled,
-        S.ANOMALY_POINTS * F.col("avg_anomaly_rate"),
-        S.INVALID_POINTS * F.col("invalid_share"),
-        S.VIBRATION_POINTS * F.col("high_vibration_share"),
-        S.RPM_POINTS * F.col("low_rpm_share"),
+        facts.groupBy("well_id", "location").agg(*_named(measures)), points
+    )
+    shares = [name for name in points if name.endswith("_share")]
+    return scored.selectExpr(
+        *[f"{rounded(n, 4)} AS {n}" if n in shares else n for n in scored.columns]
     )
-    shares = ["invalid_share", "high_vibration_share", "low_rpm_share"]
-    return scored.withColumns({n: stable_round(F.col(n), 4) for n in shares})
-
-
-def _share_or_zero(count: str, whole: Column, name: str) -> Column:
-    return F.coalesce(share(F.sum(count), whole), F.lit(0.0)).alias(name)
 
 
-def _with_score(wells: DataFrame, *losses: Column) -> DataFrame:
-    scored = wells.withColumn("health_score", labels.health_score(*losses))
-    return scored.withColumn("status", labels.health_status(F.col("health_score")))
+def _with_score(wells: DataFrame, points: Mapping[str, float]) -> DataFrame:
+    score = rounded(labels.health_score(points), 1)
+    scored = wells.selectExpr("*", f"{score} AS health_score")
+    return scored.selectExpr("*", f"{labels.health_status()} AS status")
 
 
 def anomaly_rows(readings: DataFrame) -> DataFrame:
     """Readings flagged as anomalous; a NULL flag is not one."""
-    return readings.where(F.col("is_anomaly"))
+    return readings.where(_ANOMALOUS)
 
 
 def invalid_rows(readings: DataFrame) -> DataFrame:
     """Readings known to be out of range."""
-    return readings.where(~F.col("value_valid"))
+    return readings.where(_INVALID)
 
 
 def with_severity(readings: DataFrame) -> DataFrame:
     """Anomalous readings with their alert severity."""
-    return anomaly_rows(readings).withColumn(
-        "severity", labels.alert_severity(F.col("value_valid"))
+    return anomaly_rows(readings).selectExpr(
+        "*", f"{labels.alert_severity()} AS severity"
     )
 
 
-def alert_counts(readings: DataFrame) -> DataFrame:
+def alert_counts(readings: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Number of alerts per well, sensor and severity, unordered."""
     return (
         with_severity(readings)
-        .groupBy("well_id", "sensor_type", "severity")
-        .agg(F.count("*").alias("alert_count"))
+        .groupBy(*extra_key, "well_id", "sensor_type", "severity")
+        .agg(F.expr("count(*) AS alert_count"))
     )
 
 
-def most_alerts_first(alerts: DataFrame) -> DataFrame:
-    """Order for reading; the key columns break ties."""
-    return alerts.orderBy(
+def alert_summary(readings: DataFrame) -> DataFrame:
+    """Alert counts, most frequent first; the key columns break ties."""
+    return alert_counts(readings).orderBy(
         F.desc("alert_count"), "well_id", "sensor_type", "severity"
     )
 
 
-def alert_summary(readings: DataFrame) -> DataFrame:
-    """Alert counts, most frequent first."""
-    return most_alerts_first(alert_counts(readings))
-
-
 def alerts_of(facts: DataFrame) -> DataFrame:
     """Alert counts from the facts, without another look at the readings.
 
     Equal to :func:`alert_counts`: an alert is critical when its value is
     invalid, and all other anomalies are warnings.
     """
-    per_severity = {
-        "CRITICAL": F.col("critical_count"),
-        "WARNING": F.col("anomaly_count") - F.col("critical_count"),
-    }
-    by_severity = F.array(
-        *[
-            F.struct(F.lit(severity).alias("severity"), alerts.alias("alerts"))
-            for severity, alerts in per_severity.items()
-        ]
+    by_severity = (
+        "stack(2, 'CRITICAL', critical_count, "
+        "'WARNING', anomaly_count - critical_count) AS (severity, alerts)"
     )
     return (
-        facts.select("well_id", "sensor_type", F.inline(by_severity))
-        .where(F.col("alerts") > 0)
+        facts.selectExpr("well_id", "sensor_type", by_severity)
+        .where("alerts > 0")
         .groupBy("well_id", "sensor_type", "severity")
-        .agg(F.sum("alerts").alias("alert_count"))
+        .agg(F.expr("sum(alerts) AS alert_count"))
     )
 
 
@@ -196,41 +190,36 @@ def anomalies_by_sensor(readings: DataFrame) -> DataFrame:
     return (
         anomaly_rows(readings)
         .groupBy("sensor_type")
-        .agg(F.count("*").alias("anomalies"))
+        .agg(F.expr("count(*) AS anomalies"))
         .orderBy(F.desc("anomalies"), "sensor_type")
     )
 
 
-def quality_measures() -> dict[str, Column]:
-    """Counts describing a clean table, for one aggregate or an observation."""
-    return {
-        "total_records": F.count("*"),
-        "anomaly_records": F.count_if(F.col("is_anomaly")),
-        "invalid_records": F.count_if(~F.col("value_valid")),
-        "missing_location": F.count_if(F.col("location").isNull()),
-    }
+# Counts describing a clean table, for one aggregate or an observation.
+QUALITY_MEASURES = {
+    "total_records": "count(*)",
+    "anomaly_records": f"count_if({_ANOMALOUS})",
+    "invalid_records": f"count_if({_INVALID})",
+    "missing_location": "count_if(location IS NULL)",
+}
+
+
+def quality_columns():
+    return _named(QUALITY_MEASURES)
 
 
 def quality_summary(readings: DataFrame) -> DataFrame:
     """Counts and percentages in one pass; percentages of nothing are NULL."""
-    counted = readings.agg(
-        *[measure.alias(name) for name, measure in quality_measures().items()]
-    )
-    return counted.withColumns(
-        {
-            f"{kind}_percent": percent(
-                F.col(f"{kind}_records"), F.col("total_records")
-            )
-            for kind in ("anomaly", "invalid")
-        }
+    return readings.agg(*quality_columns()).selectExpr(
+        "*",
+        f"{percent('anomaly_records', 'total_records')} AS anomaly_percent",
+        f"{percent('invalid_records', 'total_records')} AS invalid_percent",
     )
 
 
 def classify_band(readings: DataFrame) -> DataFrame:
     """Add ``band``: normal, anomaly or between, from the built-in rules."""
-    return readings.withColumn(
-        "band", labels.value_band(F.col("sensor_type"), F.col("value"))
-    )
+    return readings.selectExpr("*", f"{labels.value_band()} AS band")
 
 
 def classify_band_with(readings: DataFrame, rules: DataFrame) -> DataFrame:
@@ -241,13 +230,8 @@ def classify_band_with(readings: DataFrame, rules: DataFrame) -> DataFrame:
     broadcasts the rules while they are below its size threshold and splits
     skewed sensor types in a shuffled join beyond it.
     """
-    band = labels.band_of(
-        F.col("value"),
-        F.col("normal_low"),
-        F.col("normal_high"),
-        F.col("anomaly_low"),
-        F.col("anomaly_high"),
-    )
-    return readings.join(rules, "sensor_type", "left").select(
-        *[readings[name] for name in readings.columns], band.alias("band")
+    bounds = ["normal_low", "normal_high", "anomaly_low", "anomaly_high"]
+    known = rules.select("sensor_type", *bounds)
+    return readings.join(known, "sensor_type", "left").selectExpr(
+        *readings.columns, f"{labels.band_of('value', *bounds)} AS band"
     )

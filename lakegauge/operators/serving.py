@@ -14,29 +14,27 @@ def serving_health(scores: DataFrame, updated_at: datetime | Column) -> DataFram
     A well reported under two locations keeps the one with more readings; on
     a tie the later location name.
     """
-    stamp = updated_at if isinstance(updated_at, Column) else F.lit(updated_at)
-    typed = scores.select(
+    typed = scores.withColumn("updated_at", F.lit(updated_at)).selectExpr(
         "well_id",
         "location",
-        F.col("health_score").cast("decimal(5,1)").alias("health_score"),
+        "CAST(health_score AS DECIMAL(5,1)) AS health_score",
         "status",
-        F.col("avg_anomaly_rate").cast("decimal(6,4)").alias("avg_anomaly_rate"),
-        F.col("total_readings").cast("bigint").alias("total_readings"),
-        F.col("total_anomalies").cast("bigint").alias("total_anomalies"),
-        stamp.cast("timestamp").alias("updated_at"),
+        "CAST(avg_anomaly_rate AS DECIMAL(6,4)) AS avg_anomaly_rate",
+        "CAST(total_readings AS BIGINT) AS total_readings",
+        "CAST(total_anomalies AS BIGINT) AS total_anomalies",
+        "CAST(updated_at AS TIMESTAMP) AS updated_at",
     )
     return _one_per_well(typed, "total_readings", "location")
 
 
 def serving_alerts(alerts: DataFrame, window_start: datetime | Column) -> DataFrame:
     """Typed ``sensor_alerts`` rows of one window."""
-    stamp = window_start if isinstance(window_start, Column) else F.lit(window_start)
-    return alerts.select(
+    return alerts.withColumn("window_start", F.lit(window_start)).selectExpr(
         "well_id",
         "sensor_type",
         "severity",
-        F.col("alert_count").cast("bigint").alias("alert_count"),
-        stamp.cast("timestamp").alias("window_start"),
+        "CAST(alert_count AS BIGINT) AS alert_count",
+        "CAST(window_start AS TIMESTAMP) AS window_start",
     )
 
 
@@ -52,7 +50,8 @@ def upsert_health(current: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def _one_per_well(rows: DataFrame, *rank: str) -> DataFrame:
-    best = F.max_by(F.struct(*rows.columns), F.struct(*rank)).alias("best")
+    row, order = ", ".join(rows.columns), ", ".join(rank)
+    best = F.expr(f"max_by(struct({row}), struct({order})) AS best")
     return rows.groupBy("well_id").agg(best).select("best.*")
 
 
@@ -72,15 +71,15 @@ def top_alerts(alerts: DataFrame, limit: int = 10) -> DataFrame:
 
 def well_status(health: DataFrame, well_id: str) -> DataFrame:
     """Status panel of one well."""
-    return health.where(F.col("well_id") == well_id).select(
-        F.col("health_score").alias("Health Score"), F.col("status").alias("Status")
+    return health.where(F.col("well_id") == well_id).selectExpr(
+        "health_score AS `Health Score`", "status AS Status"
     )
 
 
 def health_by_well(health: DataFrame) -> DataFrame:
     """Bar chart of all scores."""
-    return health.select(
-        F.col("well_id").alias("Well"), F.col("health_score").alias("Health Score")
+    return health.selectExpr(
+        "well_id AS Well", "health_score AS `Health Score`"
     ).orderBy("Well")
 
 
@@ -92,11 +91,9 @@ def active_alerts(
         alerts = alerts.where(F.col("window_start") >= F.lit(since))
     return (
         alerts.groupBy(
-            F.col("well_id").alias("Well"),
-            F.col("sensor_type").alias("Sensor"),
-            "severity",
+            F.expr("well_id AS Well"), F.expr("sensor_type AS Sensor"), "severity"
         )
-        .agg(F.sum("alert_count").alias("Alert Count"))
+        .agg(F.expr("sum(alert_count) AS `Alert Count`"))
         .orderBy(F.desc("Alert Count"), "Well", "Sensor", "severity")
         .limit(limit)
     )
@@ -104,11 +101,12 @@ def active_alerts(
 
 def serving_counts(health: DataFrame, alerts: DataFrame) -> DataFrame:
     """Row counts of both serving tables, as one row."""
-    wells = health.select(F.lit(1).alias("well"), F.lit(0).alias("alert"))
-    rows = alerts.select(F.lit(0).alias("well"), F.lit(1).alias("alert"))
-    return wells.unionByName(rows).agg(
-        F.coalesce(F.sum("well"), F.lit(0)).alias("well_count"),
-        F.coalesce(F.sum("alert"), F.lit(0)).alias("alert_count"),
+    tables = health.selectExpr("'health' AS name").union(
+        alerts.selectExpr("'alerts' AS name")
+    )
+    return tables.agg(
+        F.expr("count_if(name = 'health') AS well_count"),
+        F.expr("count_if(name = 'alerts') AS alert_count"),
     )
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.numeric import stable_round
+from lakegauge.functions.numeric import rounded
 from lakegauge.functions.timeparts import hour_bucket
 from lakegauge.operators.kpis import health_scores, sensor_facts, statistics_of
 
@@ -14,9 +14,8 @@ _MICROS = 1_000_000
 
 def readings_per_hour(readings: DataFrame, instant: str = "timestamp") -> DataFrame:
     """Number of readings per event hour."""
-    return readings.groupBy(hour_bucket(F.col(instant)).alias("hour_start")).agg(
-        F.count("*").alias("reading_count")
-    )
+    hour = F.expr(f"{hour_bucket(instant)} AS hour_start")
+    return readings.groupBy(hour).agg(F.expr("count(*) AS reading_count"))
 
 
 def tumbling_statistics(
@@ -29,25 +28,25 @@ def tumbling_statistics(
     """
     windowed = readings.withColumn("window", F.window(instant, every))
     statistics = statistics_of(sensor_facts(windowed, ["window"]), ["window"])
-    return statistics.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+    return statistics.selectExpr(
+        "window.start AS window_start",
+        "window.end AS window_end",
         *statistics.columns[1:],
     )
 
 
 def health_history(readings: DataFrame, instant: str = "timestamp") -> DataFrame:
     """Health scores per hour, as the hourly snapshots would hold them."""
-    hourly = readings.withColumn("window_start", hour_bucket(F.col(instant)))
+    hourly = readings.selectExpr("*", f"{hour_bucket(instant)} AS window_start")
     return health_scores(sensor_facts(hourly, ["window_start"]), ["window_start"])
 
 
 def anomaly_series(history: DataFrame) -> DataFrame:
     """Anomaly rate per well over time, ordered by time."""
-    return history.select(
-        F.col("window_start").alias("time"),
-        F.col("well_id").alias("metric"),
-        F.col("avg_anomaly_rate").alias("anomaly_rate"),
+    return history.selectExpr(
+        "window_start AS time",
+        "well_id AS metric",
+        "avg_anomaly_rate AS anomaly_rate",
     ).orderBy("time", "metric")
 
 
@@ -88,65 +87,56 @@ def rolling_average(
 
     instants = (
         readings.groupBy(*sensor, instant)
-        .agg(F.sum("value").alias("total"), F.count("value").alias("n"))
-        .withColumn("at", F.unix_micros(F.col(instant).cast("timestamp")))
-        .withColumn("slice", F.col("at") - F.pmod("at", F.lit(width)))
+        .agg(F.expr("sum(value) AS total"), F.expr("count(value) AS n"))
+        .selectExpr("*", f"unix_micros(CAST({instant} AS TIMESTAMP)) AS at")
+        .selectExpr("*", f"at - pmod(at, {width}) AS slice")
     )
 
-    per_slice = instants.groupBy(*sensor, "slice").agg(
-        F.sum("total").alias("total"), F.sum("n").alias("n")
-    )
-    full_slices = (
-        Window.partitionBy(*sensor)
-        .orderBy("slice")
-        .rangeBetween(width - span, -width)
-    )
-    carried = per_slice.select(
-        *sensor,
-        "slice",
-        F.col("slice").alias("at"),
-        F.lit("carried").alias("part"),
-        F.lit(None).cast(instants.schema[instant].dataType).alias(instant),
-        F.sum("total").over(full_slices).alias("total"),
-        F.sum("n").over(full_slices).alias("n"),
-    )
-
-    two_slices = F.array(
-        F.struct(F.col("slice"), F.col("at"), F.lit("own").alias("part")),
-        F.struct(
-            (F.col("slice") + span).alias("slice"),
-            (F.col("at") + span).alias("at"),
-            F.lit("oldest").alias("part"),
-        ),
-    )
     # The outer form keeps Spark from adding a filter here, which would make
     # this branch differ from the slice totals and shuffle the instants twice.
-    parts = instants.select(*sensor, F.inline_outer(two_slices), instant, "total", "n")
-
-    in_slice = Window.partitionBy(*sensor, "slice")
-    up_to_now = in_slice.orderBy("at").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    parts = instants.selectExpr(
+        *sensor,
+        f"""inline_outer(array(
+          struct(slice, at, 'own' AS part),
+          struct(slice + {span} AS slice, at + {span} AS at, 'oldest' AS part)))""",
+        instant,
+        "total",
+        "n",
     )
-    from_now_on = in_slice.orderBy(F.desc("at")).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+
+    full_slices = f"""OVER (PARTITION BY {", ".join(sensor)} ORDER BY slice
+      RANGE BETWEEN {span - width} PRECEDING AND {width} PRECEDING)"""
+    carried = (
+        instants.groupBy(*sensor, "slice")
+        .agg(F.expr("sum(total) AS total"), F.expr("sum(n) AS n"))
+        .selectExpr(
+            *sensor,
+            "slice",
+            "slice AS at",
+            "'carried' AS part",
+            f"CAST(NULL AS {dict(instants.dtypes)[instant]}) AS {instant}",
+            f"sum(total) {full_slices} AS total",
+            f"sum(n) {full_slices} AS n",
+        )
     )
-    oldest = F.col("part") == "oldest"
 
-    def trailing(column: str) -> Column:
-        recent = F.sum(F.when(~oldest, F.col(column))).over(up_to_now)
-        old = F.sum(F.when(oldest, F.col(column))).over(from_now_on)
-        return F.coalesce(recent, F.lit(0)) + F.coalesce(old, F.lit(0))
+    def trailing(column: str) -> str:
+        in_slice = f"PARTITION BY {', '.join(sensor)}, slice"
+        frame = "RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        recent = f"""sum(if(part = 'oldest', NULL, {column}))
+          OVER ({in_slice} ORDER BY at {frame})"""
+        oldest = f"""sum(if(part = 'oldest', {column}, NULL))
+          OVER ({in_slice} ORDER BY at DESC {frame})"""
+        return f"coalesce({recent}, 0) + coalesce({oldest}, 0)"
 
-    summed = parts.unionByName(carried).select(
+    summed = parts.unionByName(carried).selectExpr(
         *sensor,
         instant,
         "part",
-        trailing("total").alias("total"),
-        trailing("n").alias("rolling_count"),
+        f"{trailing('total')} AS total",
+        f"{trailing('n')} AS rolling_count",
     )
-    return summed.where(F.col("part") == "own").select(
-        *sensor,
-        instant,
-        "rolling_count",
-        stable_round(F.try_divide("total", "rolling_count"), 6).alias("rolling_avg"),
+    mean = rounded("try_divide(total, rolling_count)", 6)
+    return summed.where("part = 'own'").selectExpr(
+        *sensor, instant, "rolling_count", f"{mean} AS rolling_avg"
     )

@@ -80,16 +80,14 @@ def raw_to_clean(
         F.count(REASON).alias("rows_rejected"),
     )
     readings = dedup_readings(clean_tagged(tagged, stamp).drop(*S.INGEST_COLUMNS))
-    measures = kpis.quality_measures()
-    measured = readings.observe(kept, *[m.alias(n) for n, m in measures.items()])
-    write_silver(measured, roots.silver, hour)
+    write_silver(readings.observe(kept, *kpis.quality_columns()), roots.silver, hour)
 
     if read_silver(spark, roots.silver, hour).isEmpty():
         # Every row was unusable. Adaptive execution removes a branch it finds
         # empty, observations included, so count what was written instead.
         write_rejects(rejects(raw), roots.rejects, hour)
         unusable = spark.read.parquet(ingest_path(roots.rejects, hour)).count()
-        counts = dict.fromkeys(measures, 0)
+        counts = dict.fromkeys(kpis.QUALITY_MEASURES, 0)
         return {"rows_in": unusable, "rows_rejected": unusable, **counts}
 
     report = {**seen.get, **kept.get}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakegauge import schema as S
 from lakegauge.functions.timeparts import ingest_columns
@@ -16,7 +15,7 @@ def write_bronze(raw: DataFrame, root: str, arrival: str) -> None:
     is shuffled: raw data is the bulkiest there is and arrives in time order,
     so a task meets few hours. Range-partition by arrival first if not.
     """
-    lines = raw.select(*S.RAW_COLUMNS, *ingest_columns(F.col(arrival)))
+    lines = raw.selectExpr(*S.RAW_COLUMNS, *ingest_columns(arrival))
     (
         lines.write.mode("errorifexists")
         .option("ignoreNullFields", "false")

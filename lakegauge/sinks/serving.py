@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegauge import schema as S
@@ -81,9 +80,9 @@ def write_sensor_alerts(alerts: DataFrame, root: str, window_start: datetime) ->
 
 def write_alert_windows(alerts: DataFrame, root: str) -> None:
     """Backfill: replace all windows that occur in ``alerts`` in one job."""
-    window = F.date_format("window_start", "yyyy-MM-dd'T'HH-mm").alias("window")
+    window = """date_format(window_start, "yyyy-MM-dd'T'HH-mm") AS window"""
     (
-        alerts.select("*", window)
+        alerts.selectExpr("*", window)
         .hint("rebalance", "window")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

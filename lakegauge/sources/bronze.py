@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakegauge import schema as S
 from lakegauge import storage
@@ -68,4 +67,5 @@ def hour_availability(spark: SparkSession, root: str) -> DataFrame:
     lines = spark.read.schema(
         "value string, " + ", ".join(f"{name} string" for name in S.INGEST_COLUMNS)
     ).text(root)
-    return lines.groupBy(*S.INGEST_COLUMNS).agg(F.count("*").alias("raw_count"))
+    counts = lines.groupBy(*S.INGEST_COLUMNS).count()
+    return counts.withColumnRenamed("count", "raw_count")

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegauge import schema as S
 
 
-def message_text(value: Column) -> Column:
-    """Bytes as text. A cast, since decoding would fail on invalid UTF-8."""
-    return value.cast("string")
+# Bytes as text. A cast, since decoding would fail on invalid UTF-8.
+MESSAGE_TEXT = "CAST(value AS STRING)"
 
 
 def encode_messages(raw: DataFrame) -> DataFrame:
@@ -19,14 +18,11 @@ def encode_messages(raw: DataFrame) -> DataFrame:
 
     All eight fields are written, NULLs included.
     """
-    body = F.to_json(
-        F.struct(*S.RAW_COLUMNS), {"ignoreNullFields": "false"}
-    )
+    fields = ", ".join(S.RAW_COLUMNS)
+    body = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
     others = [name for name in raw.columns if name not in S.RAW_COLUMNS]
-    return raw.select(
-        F.col("well_id").cast("binary").alias("key"),
-        body.cast("binary").alias("value"),
-        *others,
+    return raw.selectExpr(
+        "CAST(well_id AS BINARY) AS key", f"CAST({body} AS BINARY) AS value", *others
     )
 
 
@@ -34,7 +30,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     """``value`` bytes to raw rows; the text of bad JSON is kept."""
     schema = T.StructType([*S.RAW_FIELDS, T.StructField(S.CORRUPT, T.StringType())])
     parsed = F.from_json(
-        message_text(F.col("value")),
+        F.expr(MESSAGE_TEXT),
         schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT},
     )

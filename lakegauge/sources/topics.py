@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A micro-batch starts at 100 messages or after 30 seconds.
 BATCH_MESSAGES = 100
@@ -35,4 +34,4 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, **batching) -> D
     reader = spark.readStream.format("kafka").options(
         **topic_options(servers, topic, **batching)
     )
-    return reader.load().select("key", "value", F.col("timestamp").alias("arrival"))
+    return reader.load().selectExpr("key", "value", "timestamp AS arrival")

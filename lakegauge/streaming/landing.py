@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.functions.timeparts import ingest_columns
 from lakegauge.schema import INGEST_COLUMNS
-from lakegauge.sources.messages import message_text
+from lakegauge.sources.messages import MESSAGE_TEXT
 from lakegauge.sources.topics import BATCH_SECONDS
 
 
@@ -49,10 +48,12 @@ def raw_lines(messages: DataFrame) -> DataFrame:
     a full record. Only line breaks, which JSON has outside of strings alone,
     become blanks to keep one message on one line.
     """
-    text = message_text(F.col("value"))
-    one_line = F.when(text.rlike("[\r\n]"), F.regexp_replace(text, "[\r\n]+", " "))
-    return messages.select(
-        one_line.otherwise(text).alias("value"), *ingest_columns(F.col("arrival"))
+    line_breaks = "'[\\r\\n]+'"
+    return messages.selectExpr(
+        f"""CASE WHEN {MESSAGE_TEXT} RLIKE {line_breaks}
+            THEN regexp_replace({MESSAGE_TEXT}, {line_breaks}, ' ')
+            ELSE {MESSAGE_TEXT} END AS value""",
+        *ingest_columns("arrival"),
     )
 
 

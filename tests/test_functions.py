@@ -3,13 +3,16 @@ from __future__ import annotations
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakegauge.functions import labels, numeric, timeparts
 
 
-def value_of(spark, column):
-    return spark.range(1).select(column).first()[0]
+def value_of(spark, text, **values):
+    """Result of SQL text over one row; values are (type, value) pairs."""
+    schema = ", ".join(f"{name} {kind}" for name, (kind, _) in values.items())
+    row = [tuple(value for _, value in values.values())]
+    table = spark.createDataFrame(row, schema) if values else spark.range(1)
+    return table.selectExpr(text).first()[0]
 
 
 @pytest.mark.parametrize(
@@ -24,15 +27,14 @@ def value_of(spark, column):
         (None, 2, None),
     ],
 )
-def test_stable_round(spark, x, digits, expected):
-    column = F.lit(x).cast("double")
-    assert value_of(spark, numeric.stable_round(column, digits)) == expected
+def test_rounded(spark, x, digits, expected):
+    assert value_of(spark, numeric.rounded("x", digits), x=("double", x)) == expected
 
 
 def test_share_of_nothing_is_null(spark):
-    assert value_of(spark, numeric.share(F.lit(1), F.lit(0))) is None
-    assert value_of(spark, numeric.percent(F.lit(0), F.lit(0))) is None
-    assert value_of(spark, numeric.percent(F.lit(1), F.lit(8))) == 12.5
+    assert value_of(spark, numeric.share("1", "0")) is None
+    assert value_of(spark, numeric.percent("0", "0")) is None
+    assert value_of(spark, numeric.percent("1", "8")) == 12.5
 
 
 @pytest.mark.parametrize(
@@ -54,10 +56,8 @@ def test_share_of_nothing_is_null(spark):
     ],
 )
 def test_valid_range(spark, sensor, value, expected):
-    column = labels.in_valid_range(
-        F.lit(sensor).cast("string"), F.lit(value).cast("double")
-    )
-    assert value_of(spark, column) is expected
+    row = dict(sensor_type=("string", sensor), value=("double", value))
+    assert value_of(spark, labels.valid_range(), **row) is expected
 
 
 @pytest.mark.parametrize(
@@ -74,16 +74,16 @@ def test_valid_range(spark, sensor, value, expected):
     ],
 )
 def test_value_band(spark, sensor, value, expected):
-    column = labels.value_band(F.lit(sensor), F.lit(value).cast("double"))
-    assert value_of(spark, column) == expected
+    row = dict(sensor_type=("string", sensor), value=("double", value))
+    assert value_of(spark, labels.value_band(), **row) == expected
 
 
 @pytest.mark.parametrize(
     "valid, expected", [(False, "CRITICAL"), (True, "WARNING"), (None, "WARNING")]
 )
 def test_severity(spark, valid, expected):
-    column = labels.alert_severity(F.lit(valid).cast("boolean"))
-    assert value_of(spark, column) == expected
+    row = dict(value_valid=("boolean", valid))
+    assert value_of(spark, labels.alert_severity(), **row) == expected
 
 
 @pytest.mark.parametrize(
@@ -98,17 +98,23 @@ def test_severity(spark, valid, expected):
     ],
 )
 def test_score_edges(spark, rate, score, status):
-    column = labels.health_score(F.lit(40.0) * F.lit(rate))
-    assert value_of(spark, column) == score
-    assert value_of(spark, labels.health_status(column)) == status
+    text = numeric.rounded(labels.health_score({"rate": 40.0}), 1)
+    assert value_of(spark, text, rate=("double", rate)) == score
+    assert value_of(spark, labels.health_status(text), rate=("double", rate)) == status
 
 
 def test_score_is_clamped(spark):
-    column = labels.health_score(*[F.lit(x) for x in (40.0, 30.0, 20.0, 10.0)])
-    assert value_of(spark, column) == 0.0
-    assert value_of(spark, labels.health_status(column)) == "CRITICAL"
-    assert value_of(spark, labels.health_score(F.lit(500.0))) == 0.0
-    assert value_of(spark, labels.health_score(F.lit(-5.0))) == 100.0
+    worst = labels.health_score({"1.0D": 40.0, "1D": 30.0, "(1D)": 20.0, "(1.0D)": 10.0})
+    assert value_of(spark, worst) == 0.0
+    assert value_of(spark, labels.health_status(worst)) == "CRITICAL"
+    assert value_of(spark, labels.health_score({"9D": 40.0})) == 0.0
+    assert value_of(spark, labels.health_score({"-1D": 5.0})) == 100.0
+
+
+def test_lookup_quotes_its_keys(spark):
+    text = labels.lookup("x", {"it's": "1", "a\\b": "2", 3: "3"})
+    assert value_of(spark, text, x=("string", "it's")) == 1
+    assert value_of(spark, text, x=("string", "a\\b")) == 2
 
 
 @pytest.mark.parametrize(
@@ -129,8 +135,8 @@ def test_score_is_clamped(spark):
     ],
 )
 def test_parse_instant(spark, text, expected):
-    column = timeparts.parse_instant(F.lit(text).cast("string"))
-    assert value_of(spark, column.cast("timestamp_ntz")) == expected
+    parsed = f"CAST({timeparts.parse_instant('x')} AS TIMESTAMP_NTZ)"
+    assert value_of(spark, parsed, x=("string", text)) == expected
 
 
 def test_ingest_path():
@@ -149,10 +155,10 @@ def test_ingest_path():
 
 
 def test_ingest_columns_match_the_path(spark):
-    instant = F.lit("2026-03-26 14:30:00").cast("timestamp")
-    row = spark.range(1).select(*timeparts.ingest_columns(instant)).first()
+    instant = "TIMESTAMP'2026-03-26 14:30:00'"
+    row = spark.range(1).selectExpr(*timeparts.ingest_columns(instant)).first()
     assert row.asDict() == dict(year="2026", month="03", day="26", hour="14")
-    back = spark.createDataFrame([row]).select(timeparts.ingest_hour())
+    back = spark.createDataFrame([row]).selectExpr(timeparts.ingest_hour())
     assert back.first()[0] == datetime(2026, 3, 26, 14)
 
 

@@ -191,14 +191,13 @@ def gold_snapshot(spark, sf_dir):
 @_query
 def encode_messages_query(spark, sf_dir):
     messages = encode_messages(X.to_raw(X.readings(spark, sf_dir)))
-    fields = [field for field in S.RAW_FIELDS if field.name != "well_id"]
+    kinds = {f.name: f.dataType.simpleString() for f in S.RAW_FIELDS[1:]}
+    keys = ", ".join(f"'{name}'" for name in kinds)
     return messages.selectExpr(
         "CAST(key AS STRING) AS message_key",
-        *[
-            f"CAST(get_json_object(CAST(value AS STRING), '$.{field.name}') "
-            f"AS {field.dataType.simpleString()}) AS {field.name}"
-            for field in fields
-        ],
+        f"json_tuple(CAST(value AS STRING), {keys}) AS ({', '.join(kinds)})",
+    ).selectExpr(
+        "message_key", *[f"CAST({name} AS {kind})" for name, kind in kinds.items()]
     )
 
 

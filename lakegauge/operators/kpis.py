@@ -190,8 +190,8 @@ def anomalies_by_sensor(readings: DataFrame) -> DataFrame:
     return (
         anomaly_rows(readings)
         .groupBy("sensor_type")
-        .agg(F.expr("count(*) AS anomalies"))
-        .orderBy(F.desc("anomalies"), "sensor_type")
+        .count()
+        .orderBy(F.desc("count"), "sensor_type")
     )
 
 

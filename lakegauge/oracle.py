@@ -293,7 +293,7 @@ from counted""",
         "well_rollup": f"{_with(_STATS, _HEALTH)} select * from rollup_",
         "alert_summary": f"{_with(_ALERTS)} select * from alerts",
         "anomalies_by_sensor": f"""{_with()}
-select sensor_type, count(*) as anomalies from readings where is_anomaly group by 1""",
+select sensor_type, count(*) as "count" from readings where is_anomaly group by 1""",
         "quality_summary": f"""{_with(_BRONZE)},
 counted as (
   select count(*) as total_records,

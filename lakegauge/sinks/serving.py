@@ -50,15 +50,18 @@ def upsert_well_health(
     is read. Each upsert writes a new version next to the current one; its
     ``_SUCCESS`` file makes it visible in one step, so readers see the old or
     the new state and a failed attempt is never seen. Runs must not overlap.
-    The newest ``keep`` versions stay for readers that have already started.
+    The newest ``keep`` versions stay for readers that have already started;
+    older ones and those of failed attempts are removed.
     """
     versions = _versions(spark, root)
     merged = upsert_health(read_well_health(spark, root), incoming)
     merged.write.mode("errorifexists").option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true"
     ).parquet(_version_path(root, versions[-1] + 1 if versions else 0))
-    for old in _committed(spark, root)[: -max(keep, 1)]:
-        storage.remove(spark, _version_path(root, old))
+    kept = _committed(spark, root)[-max(keep, 1) :]
+    for version in _versions(spark, root):
+        if version not in kept:
+            storage.remove(spark, _version_path(root, version))
 
 
 def _alert_window(root: str, window_start: datetime) -> str:

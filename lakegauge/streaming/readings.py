@@ -10,17 +10,27 @@ from lakegauge.operators.windows import tumbling_statistics
 from lakegauge.schema import READING_KEY
 
 
-def dedup_stream(readings: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame:
-    """Drop replays of a reading that arrive within ``delay`` of it.
+def dedup_stream(
+    readings: DataFrame,
+    delay: str = "1 hour",
+    salts: int = 8,
+    clock: str = "timestamp",
+) -> DataFrame:
+    """Drop replays of a reading that come within ``delay`` of it.
+
+    State is bounded by a watermark on ``clock``. With the event time as the
+    clock, readings older than the watermark are dropped too. Where messages
+    carry an arrival time use that: readings are then kept however old they
+    are, and a wrong event time in the future cannot move the watermark.
 
-    State is bounded by the watermark. A stream cannot combine map-side
+    A stream cannot combine map-side
     before its state, so a reading replayed very often would load a single
     task. Copies are therefore first reduced within ``salts`` groups, by the
     task that read them, and what is left, at most one copy per group, is
     reduced by the key alone. ``salts=1`` does the second step only and
     halves the state.
     """
-    marked = readings.withWatermark("timestamp", delay)
+    marked = readings.withWatermark(clock, delay)
     if salts > 1:
         salted = marked.withColumn(
             "__salt", F.pmod(F.spark_partition_id(), F.lit(salts))
@@ -31,9 +41,11 @@ def dedup_stream(readings: DataFrame, delay: str = "1 hour", salts: int = 8) ->
     return marked.dropDuplicatesWithinWatermark(READING_KEY)
 
 
-def clean_stream(raw: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame:
+def clean_stream(
+    raw: DataFrame, delay: str = "1 hour", salts: int = 8, clock: str = "timestamp"
+) -> DataFrame:
     """The batch cleaning on a stream, then dedup; stamped per micro-batch."""
-    return dedup_stream(clean(raw, F.current_timestamp()), delay, salts)
+    return dedup_stream(clean(raw, F.current_timestamp()), delay, salts, clock)
 
 
 def hourly_statistics_stream(

@@ -270,6 +270,8 @@ def test_unfinished_versions_are_not_seen(spark, tmp_path):
         spark, root, serving.serving_health(scores_of(spark, score("f")), RUN)
     )
     assert read_well_health(spark, root).count() == 5
+    names = sorted(storage.children(spark, root))
+    assert names == ["version=0000000003", "version=0000000005"]
 
 
 def test_alerts_are_replaced_per_window(spark, tmp_path):

@@ -10,7 +10,7 @@ from lakegauge import schema as S
 from lakegauge.functions.timeparts import ingest_columns
 from lakegauge.operators import cleaning, dedup, windows
 from lakegauge.sources import bronze
-from lakegauge.sources.messages import encode_messages
+from lakegauge.sources.messages import decode_messages, encode_messages
 from lakegauge.streaming import landing
 from lakegauge.streaming import readings as streams
 from tests.conftest import HOUR, RUN, rows_of
@@ -127,6 +127,26 @@ def test_replays_in_later_batches_are_dropped(spark, tmp_path, raw_of, salts):
     assert run() == 3
 
 
+@pytest.mark.parametrize("clock, kept", [("timestamp", 2), ("arrival", 3)])
+def test_old_readings_and_the_clock(spark, tmp_path, messages, raw_of, clock, kept):
+    """A day-old reading comes after a watermark has moved on."""
+    table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
+
+    def run(second, *rows):
+        arrival = F.lit(HOUR + timedelta(seconds=second)).alias("arrival")
+        messages.add(encode_messages(raw_of(*rows).select("*", arrival)))
+        raw = decode_messages(messages.stream())
+        cleaned = streams.clean_stream(raw, delay="10 minutes", clock=clock)
+        drain(landing.start_files(cleaned, table, progress, available_now=True))
+
+    run(0, dict(timestamp="2026-03-26T14:00:00"))
+    run(1, dict(timestamp="2026-03-26T16:00:00"))
+    old = dict(timestamp="2026-03-25T14:00:00")
+    run(2, old, old)
+    run(3, old)
+    assert spark.read.parquet(table).count() == kept
+
+
 def test_late_rows_miss_their_closed_window(spark, tmp_path, readings_of):
     inbox = Inbox(spark, tmp_path / "inbox", readings_of({}).schema)
     table, progress = str(tmp_path / "table"), str(tmp_path / "progress")

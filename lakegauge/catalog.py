@@ -17,6 +17,7 @@ from lakegauge import schema as S
 from lakegauge.functions import timeparts
 from lakegauge.operators import cleaning, dedup, kpis, serving, windows
 from lakegauge.plans.hourly import Roots, clean_to_kpis
+from lakegauge.session import use_utc
 from lakegauge.sinks.hours import write_silver
 from lakegauge.sinks.serving import (
     read_sensor_alerts,
@@ -49,7 +50,7 @@ def _query(function: Query) -> Query:
     name = function.__name__.removesuffix("_query")
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        use_utc(spark)
         return _plain(function(spark, sf_dir))
 
     _queries[name] = run

@@ -18,6 +18,7 @@ from lakegauge.functions.timeparts import ingest_path, previous_hour
 from lakegauge.operators import kpis, serving
 from lakegauge.operators.cleaning import REASON, clean_tagged, rejects, tag_rejects
 from lakegauge.operators.dedup import dedup_readings
+from lakegauge.session import use_utc
 from lakegauge.sinks.hours import write_gold, write_rejects, write_silver
 from lakegauge.sinks.serving import (
     read_sensor_alerts,
@@ -48,11 +49,6 @@ class Roots:
         return cls(*[f"{base}/{name}" for name in cls.__dataclass_fields__])
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Producers send naive UTC, so sessions read timestamps as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def raw_to_clean(
     spark: SparkSession,
     roots: Roots,

@@ -26,6 +26,11 @@ SETTINGS = {
 }
 
 
+def use_utc(spark: SparkSession) -> None:
+    """Producers send naive UTC, so a session reads and writes times as UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def build_session(
     app_name: str, cores: int | None = None, **settings: str
 ) -> SparkSession:

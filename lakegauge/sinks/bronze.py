@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from lakegauge import schema as S
 from lakegauge.functions.timeparts import ingest_columns
+from lakegauge.session import use_utc
 
 
 def write_bronze(raw: DataFrame, root: str, arrival: str) -> None:
@@ -15,6 +16,7 @@ def write_bronze(raw: DataFrame, root: str, arrival: str) -> None:
     is shuffled: raw data is the bulkiest there is and arrives in time order,
     so a task meets few hours. Range-partition by arrival first if not.
     """
+    use_utc(raw.sparkSession)
     lines = raw.selectExpr(*S.RAW_COLUMNS, *ingest_columns(arrival))
     (
         lines.write.mode("errorifexists")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from lakegauge import schema as S
 from lakegauge import storage
 from lakegauge.operators.serving import upsert_health
+from lakegauge.session import use_utc
 
 _VERSION = "version="
 
@@ -83,6 +84,7 @@ def write_sensor_alerts(alerts: DataFrame, root: str, window_start: datetime) ->
 
 def write_alert_windows(alerts: DataFrame, root: str) -> None:
     """Backfill: replace all windows that occur in ``alerts`` in one job."""
+    use_utc(alerts.sparkSession)
     window = """date_format(window_start, "yyyy-MM-dd'T'HH-mm") AS window"""
     (
         alerts.selectExpr("*", window)

@@ -43,6 +43,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in files.listStatus(where)]
 
 
+def create_until_exit(spark: SparkSession, path: str) -> None:
+    """Create a directory that goes, with its content, when the driver ends."""
+    files, where = _open(spark, path)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a directory tree."""
     files, where = _open(spark, path)

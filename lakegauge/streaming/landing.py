@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.functions.timeparts import ingest_columns
 from lakegauge.schema import INGEST_COLUMNS
+from lakegauge.session import use_utc
 from lakegauge.sources.messages import MESSAGE_TEXT
 from lakegauge.sources.topics import BATCH_SECONDS
 
@@ -28,6 +29,7 @@ def start_files(
     micro-batch write the same files once. ``available_now`` drains what is
     there and stops; otherwise a micro-batch starts at each interval.
     """
+    use_utc(rows.sparkSession)
     writer = (
         rows.writeStream.format(file_format)
         .outputMode("append")

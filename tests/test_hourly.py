@@ -174,7 +174,7 @@ def test_scratch_is_removed(spark, roots):
 
 def _scratch(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
-    own = f"{folder}/{spark.sparkContext.applicationId}"
+    own = f"{folder}/lakegauge-{spark.sparkContext.applicationId}"
     return [n for n in storage.children(spark, own) if n.startswith("facts")]
 
 

@@ -13,6 +13,7 @@ from lakegauge import storage, workspace
 from lakegauge.functions.timeparts import in_ingest_scope
 from lakegauge.operators import cleaning, kpis, serving
 from lakegauge.sinks import hours
+from lakegauge.sinks.bronze import write_bronze
 from lakegauge.sinks.serving import (
     read_sensor_alerts,
     read_well_health,
@@ -351,6 +352,47 @@ def test_shared_folder_is_read_from_the_session(spark):
     assert first != second and first.startswith(folder)
 
 
+class FakeSession:
+    """Just what the workspace asks of a session without the setting."""
+
+    def __init__(self, master, application):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.applicationId = master, application
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return default
+
+
+def test_local_session_without_the_setting():
+    one, other = FakeSession("local[2]", "one"), FakeSession("local[2]", "other")
+    assert workspace.shared_folder(one) == workspace.shared_folder(one)
+    assert workspace.shared_folder(one) != workspace.shared_folder(other)
+
+
+def test_cluster_session_without_the_setting():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(FakeSession("yarn", "three"))
+
+
+def test_other_session_zones_are_overruled(spark, tmp_path, raw_of):
+    root, alerts_root = str(tmp_path / "bronze"), str(tmp_path / "alerts")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        arriving = raw_of({}).withColumn("arrival", F.lit(HOUR))
+        write_bronze(arriving, root, "arrival")
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        alerts = spark.createDataFrame(
+            [("a", "rpm", "WARNING", 1)], S.ALERT_SUMMARY_SCHEMA
+        )
+        write_alert_windows(serving.serving_alerts(alerts, HOUR), alerts_root)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert bronze.hour_available(spark, root, HOUR)
+    assert "window=2026-03-26T14-00" in storage.children(spark, alerts_root)
+
+
 def test_timestamps_written_in_utc(spark, tmp_path, silver_of):
     root = str(tmp_path / "silver")
     hours.write_silver(silver_of({}), root, HOUR)

@@ -20,8 +20,8 @@ def _replaced(df: DataFrame, **expressions: str) -> DataFrame:
         f"{expressions[name]} AS {name}" if name in expressions else name
         for name in df.columns
     ]
-    added = [f"{x} AS {name}" for name, x in expressions.items() if name not in df.columns]
-    return df.selectExpr(*kept, *added)
+    new = [name for name in expressions if name not in df.columns]
+    return df.selectExpr(*kept, *[f"{expressions[name]} AS {name}" for name in new])
 
 
 def _blank_to_null(text: str) -> str:

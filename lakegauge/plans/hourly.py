@@ -146,6 +146,17 @@ def publish(
     write_sensor_alerts(alerts, roots.sensor_alerts, hour)
 
 
+def register_views(spark: SparkSession, roots: Roots) -> None:
+    """Offer the serving tables to SQL as ``well_health`` and ``sensor_alerts``.
+
+    A view shows the state at the time of the call.
+    """
+    use_utc(spark)
+    read_well_health(spark, roots.well_health).createOrReplaceTempView("well_health")
+    alerts = read_sensor_alerts(spark, roots.sensor_alerts)
+    alerts.createOrReplaceTempView("sensor_alerts")
+
+
 def summary(spark: SparkSession, roots: Roots) -> tuple[DataFrame, DataFrame]:
     """Row counts of the serving tables, and the five lowest scores."""
     health = read_well_health(spark, roots.well_health)

@@ -29,7 +29,9 @@ def topic_options(
     return options
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, **batching) -> DataFrame:
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str, **batching
+) -> DataFrame:
     """Messages of a topic as a stream of key, value and arrival time."""
     reader = spark.readStream.format("kafka").options(
         **topic_options(servers, topic, **batching)

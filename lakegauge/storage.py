@@ -23,14 +23,18 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
-    """Whether a directory tree holds a data file; stops at the first one."""
+    """Whether a directory tree holds a data file; stops at the first one.
+
+    Markers, checksums and files of a write in progress are not data.
+    """
     files, where = _open(spark, path)
     if not files.exists(where):
         return False
+    top = files.getFileStatus(where).getPath().toString()
     found = files.listFiles(where, True)
     while found.hasNext():
-        name = found.next().getPath().getName()
-        if not name.startswith(("_", ".")):
+        below = found.next().getPath().toString().removeprefix(top)
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
             return True
     return False
 

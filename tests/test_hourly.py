@@ -95,6 +95,24 @@ def test_run_hour(spark, roots):
     assert [r.well_id for r in lowest.collect()] == ["W2", "W1"]
 
 
+def test_serving_tables_in_sql(spark, roots):
+    land(roots, HOUR, *FIRST)
+    hourly.run_hour(spark, roots, HOUR, processed_at=RUN)
+    hourly.register_views(spark, roots)
+    status = spark.sql(
+        "SELECT health_score AS `Health Score`, status AS `Status` "
+        "FROM well_health WHERE well_id = 'W1'"
+    )
+    assert rows_of(status.selectExpr("CAST(`Health Score` AS DOUBLE)", "Status")) == [
+        (80.0, "HEALTHY")
+    ]
+    alerts = spark.sql(
+        "SELECT well_id AS `Well`, SUM(alert_count) AS `Alert Count` "
+        "FROM sensor_alerts GROUP BY well_id ORDER BY SUM(alert_count) DESC, 1 LIMIT 20"
+    )
+    assert [tuple(r) for r in alerts.collect()] == [("W1", 1), ("W2", 1)]
+
+
 def test_rerun_changes_nothing(spark, roots):
     land(roots, HOUR, *FIRST)
     hourly.run_hour(spark, roots, HOUR, processed_at=RUN)

@@ -171,6 +171,8 @@ def test_hidden_files_are_no_data(spark, tmp_path):
     folder = tmp_path / "year=2026" / "month=03" / "day=26" / "hour=14"
     folder.mkdir(parents=True)
     (folder / "_SUCCESS").write_text("")
+    (folder / "_temporary" / "0").mkdir(parents=True)
+    (folder / "_temporary" / "0" / "part-0.json").write_text("{}")
     assert not bronze.hour_available(spark, str(tmp_path), HOUR)
 
 

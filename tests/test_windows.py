@@ -49,7 +49,11 @@ def test_rolling_average_random(spark, seed, slice_seconds):
         (
             choice.choice(["a", "b"]),
             choice.choice(["x", "y"]),
-            start + timedelta(seconds=choice.randint(0, 4 * 3600), microseconds=choice.choice([0, 0, 1, 999999])),
+            start
+            + timedelta(
+                seconds=choice.randint(0, 4 * 3600),
+                microseconds=choice.choice([0, 0, 1, 999999]),
+            ),
             choice.choice([None, round(choice.uniform(-500, 500), 2)]),
         )
         for _ in range(150)

@@ -167,7 +167,7 @@ def alert_summary(readings: DataFrame) -> DataFrame:
     )
 
 
-def alerts_of(facts: DataFrame) -> DataFrame:
+def alerts_of(facts: DataFrame, extra_key: Sequence[str] = ()) -> DataFrame:
     """Alert counts from the facts, without another look at the readings.
 
     Equal to :func:`alert_counts`: an alert is critical when its value is
@@ -178,9 +178,9 @@ def alerts_of(facts: DataFrame) -> DataFrame:
         "'WARNING', anomaly_count - critical_count) AS (severity, alerts)"
     )
     return (
-        facts.selectExpr("well_id", "sensor_type", by_severity)
+        facts.selectExpr(*extra_key, "well_id", "sensor_type", by_severity)
         .where("alerts > 0")
-        .groupBy("well_id", "sensor_type", "severity")
+        .groupBy(*extra_key, "well_id", "sensor_type", "severity")
         .agg(F.expr("sum(alerts) AS alert_count"))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def serving_health(scores: DataFrame, updated_at: datetime | Column) -> DataFrame:
-    """Typed ``well_health`` rows, one per well.
+    """Typed ``well_health`` rows, one per well: the latest.
 
     A well reported under two locations keeps the one with more readings; on
     a tie the later location name.
@@ -24,7 +24,7 @@ def serving_health(scores: DataFrame, updated_at: datetime | Column) -> DataFram
         "CAST(total_anomalies AS BIGINT) AS total_anomalies",
         "CAST(updated_at AS TIMESTAMP) AS updated_at",
     )
-    return _one_per_well(typed, "total_readings", "location")
+    return _latest_per_well(typed)
 
 
 def serving_alerts(alerts: DataFrame, window_start: datetime | Column) -> DataFrame:
@@ -44,15 +44,14 @@ def upsert_health(current: DataFrame, incoming: DataFrame) -> DataFrame:
     Order of arrival does not matter, so replaying an old batch changes
     nothing. Both sides hold one row per well.
     """
-    return _one_per_well(
-        current.unionByName(incoming), "updated_at", "total_readings", "location"
-    )
+    return _latest_per_well(current.unionByName(incoming))
 
 
-def _one_per_well(rows: DataFrame, *rank: str) -> DataFrame:
-    row, order = ", ".join(rows.columns), ", ".join(rank)
-    best = F.expr(f"max_by(struct({row}), struct({order})) AS best")
-    return rows.groupBy("well_id").agg(best).select("best.*")
+def _latest_per_well(rows: DataFrame) -> DataFrame:
+    row = f"struct({', '.join(rows.columns)})"
+    rank = "struct(updated_at, total_readings, location)"
+    latest = F.expr(f"max_by({row}, {rank}) AS latest")
+    return rows.groupBy("well_id").agg(latest).select("latest.*")
 
 
 def health_view(scores: DataFrame) -> DataFrame:

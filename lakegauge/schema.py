@@ -67,34 +67,61 @@ READING_KEY = ["well_id", "timestamp", "sensor_type"]
 # Without these a reading is unusable and goes to the rejects.
 REQUIRED = ["well_id", "timestamp", "sensor_type", "value"]
 
-SENSOR_STATISTICS_SCHEMA = (
-    "well_id string, sensor_type string, location string, avg_value double, "
-    "min_value double, max_value double, stddev_value double, "
-    "reading_count bigint, anomaly_count bigint, anomaly_rate double"
-)
-WELL_HEALTH_SCORES_SCHEMA = (
-    "well_id string, location string, avg_anomaly_rate double, "
-    "overall_avg_value double, total_readings bigint, total_anomalies bigint, "
-    "health_score double, status string"
-)
-ALERT_SUMMARY_SCHEMA = (
-    "well_id string, sensor_type string, severity string, alert_count bigint"
-)
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, kind) for n, kind in columns.items()])
+
+
+_STRING, _DOUBLE, _LONG = T.StringType(), T.DoubleType(), T.LongType()
+
 GOLD_SCHEMAS = {
-    "sensor_statistics": SENSOR_STATISTICS_SCHEMA,
-    "well_health_scores": WELL_HEALTH_SCORES_SCHEMA,
-    "alert_summary": ALERT_SUMMARY_SCHEMA,
+    "sensor_statistics": _table(
+        well_id=_STRING,
+        sensor_type=_STRING,
+        location=_STRING,
+        avg_value=_DOUBLE,
+        min_value=_DOUBLE,
+        max_value=_DOUBLE,
+        stddev_value=_DOUBLE,
+        reading_count=_LONG,
+        anomaly_count=_LONG,
+        anomaly_rate=_DOUBLE,
+    ),
+    "well_health_scores": _table(
+        well_id=_STRING,
+        location=_STRING,
+        avg_anomaly_rate=_DOUBLE,
+        overall_avg_value=_DOUBLE,
+        total_readings=_LONG,
+        total_anomalies=_LONG,
+        health_score=_DOUBLE,
+        status=_STRING,
+    ),
+    "alert_summary": _table(
+        well_id=_STRING,
+        sensor_type=_STRING,
+        severity=_STRING,
+        alert_count=_LONG,
+    ),
 }
 
 # Serving tables. alert_count is BIGINT: one hot sensor can pass 2^31 alerts.
-WELL_HEALTH_SCHEMA = (
-    "well_id string, location string, health_score decimal(5,1), status string, "
-    "avg_anomaly_rate decimal(6,4), total_readings bigint, "
-    "total_anomalies bigint, updated_at timestamp"
+WELL_HEALTH_SCHEMA = _table(
+    well_id=_STRING,
+    location=_STRING,
+    health_score=T.DecimalType(5, 1),
+    status=_STRING,
+    avg_anomaly_rate=T.DecimalType(6, 4),
+    total_readings=_LONG,
+    total_anomalies=_LONG,
+    updated_at=T.TimestampType(),
 )
-SENSOR_ALERTS_SCHEMA = (
-    "well_id string, sensor_type string, severity string, alert_count bigint, "
-    "window_start timestamp"
+SENSOR_ALERTS_SCHEMA = _table(
+    well_id=_STRING,
+    sensor_type=_STRING,
+    severity=_STRING,
+    alert_count=_LONG,
+    window_start=T.TimestampType(),
 )
 
 

@@ -1,4 +1,9 @@
-"""Tables written one ingest hour at a time, each hour replaced as a whole."""
+"""Tables by ingest hour.
+
+Given an hour, a sink replaces that hour as a whole. Without one it writes
+all hours of its input, told apart by the ingest columns, into a root that
+does not exist yet.
+"""
 
 from __future__ import annotations
 
@@ -13,21 +18,33 @@ from lakegauge.functions.timeparts import ingest_path
 SILVER_PARTITIONS = ["well_id", "sensor_type"]
 
 
-def _overwrite(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
-    """Replace a directory, including partitions that no longer have rows."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
+def _hour_columns(hour: datetime | None) -> list[str]:
+    """The ingest columns a row must bring: none when the path has them."""
+    return S.INGEST_COLUMNS if hour is None else []
+
+
+def _write(
+    df: DataFrame, root: str, hour: datetime | None, partitions: Sequence[str] = ()
+) -> None:
+    columns = [*_hour_columns(hour), *partitions]
+    if hour is None:
+        writer, path = df.write.mode("errorifexists"), root
+    else:
+        # Static: partitions that no longer have rows must go as well.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        path = ingest_path(root, hour)
+    if columns:
+        writer = writer.partitionBy(*columns)
     writer.parquet(path)
 
 
 def write_silver(
     readings: DataFrame,
     root: str,
-    hour: datetime,
+    hour: datetime | None,
     partitions: Sequence[str] = tuple(SILVER_PARTITIONS),
 ) -> None:
-    """Write one ingest hour of clean readings.
+    """Write clean readings of one ingest hour, or of all hours.
 
     ``rebalance`` brings the rows of a directory together so that it gets few
     files, and adaptive execution splits a directory that outgrows the target
@@ -35,20 +52,27 @@ def write_silver(
     ``partitions=()``: rows are then clustered inside larger files, and
     Parquet statistics prune on well and sensor instead of directories.
     """
-    rows = readings.select(*S.SILVER_COLUMNS).hint("rebalance", *SILVER_PARTITIONS)
+    hours = _hour_columns(hour)
+    rows = readings.select(*S.SILVER_COLUMNS, *hours)
+    rows = rows.hint("rebalance", *hours, *SILVER_PARTITIONS)
     if not partitions:
-        rows = rows.sortWithinPartitions(*SILVER_PARTITIONS, "timestamp")
-    _overwrite(rows, ingest_path(root, hour), partitions)
+        rows = rows.sortWithinPartitions(*hours, *SILVER_PARTITIONS, "timestamp")
+    _write(rows, root, hour, partitions)
 
 
-def write_rejects(rejected: DataFrame, root: str, hour: datetime) -> None:
+def write_rejects(rejected: DataFrame, root: str, hour: datetime | None) -> None:
     """Write the rows cleaning left out, for inspection and replay."""
-    _overwrite(rejected.drop(*S.INGEST_COLUMNS), ingest_path(root, hour))
+    if hour is None:
+        rejected = rejected.hint("rebalance", *S.INGEST_COLUMNS)
+    else:
+        rejected = rejected.drop(*S.INGEST_COLUMNS)
+    _write(rejected, root, hour)
 
 
-def write_gold(table: str, rows: DataFrame, root: str, hour: datetime) -> None:
-    """Write one KPI table of an hour to ``root/table/year=/...``."""
-    columns = [part.split()[0] for part in S.GOLD_SCHEMAS[table].split(",")]
-    _overwrite(
-        rows.select(*columns), ingest_path(f"{root.rstrip('/')}/{table}", hour)
-    )
+def write_gold(table: str, rows: DataFrame, root: str, hour: datetime | None) -> None:
+    """Write one KPI table to ``root/table/year=/...``."""
+    hours = _hour_columns(hour)
+    rows = rows.select(*S.GOLD_SCHEMAS[table].fieldNames(), *hours)
+    if hours:
+        rows = rows.hint("rebalance", *hours)
+    _write(rows, f"{root.rstrip('/')}/{table}", hour)

@@ -35,11 +35,10 @@ def _is_committed(spark: SparkSession, root: str, version: int) -> bool:
 
 def read_well_health(spark: SparkSession, root: str) -> DataFrame:
     """The current state of ``well_health``, empty before the first write."""
-    schema = T.StructType.fromDDL(S.WELL_HEALTH_SCHEMA)
     committed = _committed(spark, root)
     if not committed:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(_version_path(root, committed[-1]))
+        return spark.createDataFrame([], S.WELL_HEALTH_SCHEMA)
+    return spark.read.schema(S.WELL_HEALTH_SCHEMA).parquet(_version_path(root, committed[-1]))
 
 
 def upsert_well_health(
@@ -98,7 +97,8 @@ def write_alert_windows(alerts: DataFrame, root: str) -> None:
 
 def read_sensor_alerts(spark: SparkSession, root: str) -> DataFrame:
     """All alerts; ``window`` is the directory column, filter on it to prune."""
-    schema = T.StructType.fromDDL(S.SENSOR_ALERTS_SCHEMA).add("window", "string")
+    window = T.StructField("window", T.StringType())
+    schema = T.StructType([*S.SENSOR_ALERTS_SCHEMA.fields, window])
     if not storage.exists(spark, root):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(root)

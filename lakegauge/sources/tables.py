@@ -30,8 +30,7 @@ def read_gold(
     spark: SparkSession, root: str, table: str, hour: datetime | None = None
 ) -> DataFrame:
     """A KPI table of one hour, or its history over all hours."""
-    columns = T.StructType.fromDDL(S.GOLD_SCHEMAS[table])
-    schema = T.StructType(columns.fields + S.INGEST_FIELDS)
+    schema = T.StructType(S.GOLD_SCHEMAS[table].fields + S.INGEST_FIELDS)
     return _read_hours(spark, f"{root.rstrip('/')}/{table}", schema, hour, "hour")
 
 

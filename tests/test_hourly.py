@@ -11,6 +11,7 @@ from lakegauge import schema as S
 from lakegauge import storage
 from lakegauge.functions.timeparts import ingest_path
 from lakegauge.plans import hourly
+from lakegauge.plans.rebuild import rebuild
 from lakegauge.sinks.serving import read_sensor_alerts, read_well_health
 from lakegauge.sources.tables import read_gold, read_silver
 from tests.conftest import HOUR, RUN, rows_of
@@ -156,6 +157,38 @@ def test_old_hours_do_not_replace_newer_health(spark, roots):
     assert rows_of(scores) == [("W1", 100.0), ("W2", 60.0)]
 
 
+def test_rebuild_equals_hourly_runs(spark, roots, tmp_path):
+    later = HOUR + timedelta(hours=1)
+    last = HOUR + timedelta(days=3)
+    land(roots, HOUR, *FIRST)
+    land(roots, later, FIRST[0], reading("W1", 59, location="B"), "not json")
+    land(roots, last, reading("W3", 7, anomaly=True), reading("W3", 7, anomaly=True))
+    for hour in (HOUR, later, last):
+        hourly.run_hour(spark, roots, hour, processed_at=RUN)
+    target = hourly.Roots.below(str(tmp_path / "new"))
+    switched = rebuild(spark, roots.bronze, target, processed_at=RUN)
+    assert switched.bronze == roots.bronze
+    left, right = state(spark, roots), state(spark, switched)
+    for table in ("silver", "health", "alerts", *S.GOLD_SCHEMAS):
+        assert left[table] == right[table], table
+    assert len(left["rejects"]) == len(right["rejects"]) == 3
+    with pytest.raises(Exception, match="already exists"):
+        rebuild(spark, roots.bronze, target, processed_at=RUN)
+    # The hourly runs go on from there.
+    land(roots, last + timedelta(hours=1), reading("W3", 8))
+    hourly.run_hour(spark, switched, last + timedelta(hours=1), processed_at=RUN)
+    assert read_silver(spark, switched.silver).count() == len(left["silver"]) + 1
+    assert read_well_health(spark, switched.well_health).count() == 3
+
+
+def test_rebuild_of_selected_hours(spark, roots, tmp_path):
+    land(roots, HOUR, *FIRST)
+    land(roots, HOUR + timedelta(days=1), reading("W9", 1))
+    target = hourly.Roots.below(str(tmp_path / "new"))
+    rebuild(spark, roots.bronze, target, where="day = '27'", partitions=())
+    assert rows_of(read_silver(spark, target.silver).select("well_id")) == [("W9",)]
+
+
 def test_missing_hour_fails_early(spark, roots):
     with pytest.raises(ValueError, match="no raw data"):
         hourly.run_hour(spark, roots, HOUR)

@@ -22,7 +22,7 @@ def test_single_reading_has_no_deviation(readings_of):
 
 def test_statistics_schema(readings_of):
     row = kpis.sensor_statistics(readings_of({}))
-    assert row.schema.names == S.T.StructType.fromDDL(S.SENSOR_STATISTICS_SCHEMA).names
+    assert row.schema.names == S.GOLD_SCHEMAS["sensor_statistics"].names
 
 
 def test_sample_deviation(readings_of):

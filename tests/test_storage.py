@@ -210,7 +210,7 @@ def test_topic_options():
 
 
 def scores_of(spark, *rows):
-    return spark.createDataFrame(list(rows), S.WELL_HEALTH_SCORES_SCHEMA)
+    return spark.createDataFrame(list(rows), S.GOLD_SCHEMAS["well_health_scores"])
 
 
 def score(well, location="x", total=10, value=90.0, status="HEALTHY"):
@@ -219,11 +219,10 @@ def score(well, location="x", total=10, value=90.0, status="HEALTHY"):
 
 def test_serving_types(spark):
     health = serving.serving_health(scores_of(spark, score("a")), RUN)
-    expected = S.T.StructType.fromDDL(S.WELL_HEALTH_SCHEMA)
     assert [(f.name, f.dataType) for f in health.schema] == [
-        (f.name, f.dataType) for f in expected
+        (f.name, f.dataType) for f in S.WELL_HEALTH_SCHEMA
     ]
-    alerts = spark.createDataFrame([("a", "rpm", "WARNING", 2**40)], S.ALERT_SUMMARY_SCHEMA)
+    alerts = spark.createDataFrame([("a", "rpm", "WARNING", 2**40)], S.GOLD_SCHEMAS["alert_summary"])
     typed = serving.serving_alerts(alerts, HOUR)
     assert typed.dtypes[3:] == [("alert_count", "bigint"), ("window_start", "timestamp")]
     assert typed.first().alert_count == 2**40
@@ -282,7 +281,7 @@ def test_alerts_are_replaced_per_window(spark, tmp_path):
     later = HOUR + timedelta(hours=1)
 
     def write(hour, *rows):
-        alerts = spark.createDataFrame(list(rows), S.ALERT_SUMMARY_SCHEMA)
+        alerts = spark.createDataFrame(list(rows), S.GOLD_SCHEMAS["alert_summary"])
         write_sensor_alerts(serving.serving_alerts(alerts, hour), root, hour)
 
     assert read_sensor_alerts(spark, root).isEmpty()
@@ -302,7 +301,7 @@ def test_alert_backfill_equals_single_windows(spark, tmp_path):
     single, bulk = str(tmp_path / "single"), str(tmp_path / "bulk")
     parts = []
     for hour, row in zip((HOUR, HOUR + timedelta(hours=1)), rows):
-        alerts = spark.createDataFrame([row], S.ALERT_SUMMARY_SCHEMA)
+        alerts = spark.createDataFrame([row], S.GOLD_SCHEMAS["alert_summary"])
         parts.append(serving.serving_alerts(alerts, hour))
         write_sensor_alerts(parts[-1], single, hour)
     for _ in range(2):
@@ -386,7 +385,7 @@ def test_other_session_zones_are_overruled(spark, tmp_path, raw_of):
         write_bronze(arriving, root, "arrival")
         spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
         alerts = spark.createDataFrame(
-            [("a", "rpm", "WARNING", 1)], S.ALERT_SUMMARY_SCHEMA
+            [("a", "rpm", "WARNING", 1)], S.GOLD_SCHEMAS["alert_summary"]
         )
         write_alert_windows(serving.serving_alerts(alerts, HOUR), alerts_root)
     finally:

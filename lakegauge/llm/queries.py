@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakegauge.llm import bpe, language, pii, quality, rans
+from lakegauge.llm import (
+    bpe,
+    decontaminate,
+    language,
+    linededup,
+    ngramjoin,
+    pii,
+    quality,
+    rans,
+)
 from lakegauge.llm.common import documents, id_and_text
 from lakegauge.workspace import new_folder
 
@@ -25,6 +34,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.ngram_join(documents(spark, sf_dir)).drop("n_links")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(documents(spark, sf_dir)).selectExpr(
+        "doc_id", "n_lines", "n_dropped", "sha2(kept, 256) AS kept_sha256"
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     encoded = bpe.encode_and_decode(
@@ -43,6 +62,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_held_out(documents(spark, sf_dir))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "token-files")
     vocabulary = vocabulary_path("word_bpe_49k.json")
@@ -52,9 +76,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_join": op2_ngram_join,
+    "op4_line_dedup": op4_line_dedup,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
+    "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
 }
 

@@ -111,6 +111,7 @@ _ARROW = {
     "binary": pa.binary(),
     "array<bigint>": pa.list_(pa.int64()),
     "array<int>": pa.list_(pa.int32()),
+    "array<string>": pa.list_(pa.string()),
     "array<binary>": pa.list_(pa.binary()),
 }
 

@@ -119,8 +119,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     else:
         found = _document_seeds(words, "doc_id").drop("words").join(seeds, "seed")
         pairs = found.selectExpr("doc_id", "item_id", "place - item_place AS shift")
-        pairs = pairs.distinct().withColumnRenamed("doc_id", "_id")
-        same = F.col("doc_id").eqNullSafe(F.col("_id"))
+        pairs = pairs.distinct().withColumnRenamed("doc_id", "__llm_id")
+        same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))
         hits = words.join(pairs, same).join(items, "item_id")
     return _verified(hits).groupBy("doc_id", "item_id").agg(
         F.max("equal_pct").alias("equal_pct")
@@ -134,8 +134,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = matches(docs, benchmark).groupBy("doc_id").agg(
         F.count("*").alias("n_items"), F.max("equal_pct").alias("best_pct")
     )
-    found = found.withColumnRenamed("doc_id", "_id")
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = found.withColumnRenamed("doc_id", "__llm_id")
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))
     return docs.select("doc_id").join(found, same, "left").selectExpr(
         "doc_id",
         "n_items IS NOT NULL AS contaminated",
@@ -147,6 +147,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents without a benchmark passage."""
     found = matches(id_and_text(docs), benchmark)
-    found = found.selectExpr("doc_id AS _id").distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    found = found.selectExpr("doc_id AS __llm_id").distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id"))
     return docs.join(found, same, "left_anti")

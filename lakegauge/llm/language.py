@@ -19,15 +19,16 @@ text alone. Prediction covers every text as a whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakegauge.llm.common import arrow_schema, groups, per_batch
+from lakegauge.llm.common import arrow_schema, groups
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -35,6 +36,8 @@ MAX_LANGUAGES = 256
 SMOOTHING = 0.3
 ROUNDS = 8
 PENALTY = 4.0
+# Characters whose words are in one pass of the inference.
+GROUP_CHARS = 1_000_000
 _LETTER = re.compile(r"[^\W\d_]")
 # Bytes of letters: ASCII letters and all of the multi-byte characters.
 _IS_LETTER = np.zeros(256, bool)
@@ -175,35 +178,40 @@ def infer(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """Per document ``lang_pred`` and ``score``, from the text alone."""
+    """Every row of ``docs`` with ``__llm_lang`` and ``__llm_score``, which come
+    from the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def start():
-        def work(texts):
-            made = []
-            for part in small_groups(texts):
-                made += infer(shared.value, part)
-            return made
-
-        return work
-
-    return per_batch(docs, "lang_pred string, score double", start)
-
-
-def small_groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    return groups(texts, 1_000_000)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[str, float]] = []
+            for group in groups(batch.column("text").to_pylist(), GROUP_CHARS):
+                found += infer(shared.value, group)
+            columns = list(zip(*found)) or [(), ()]
+            batch = batch.append_column("__llm_lang", pa.array(columns[0], pa.string()))
+            yield batch.append_column("__llm_score", pa.array(columns[1], pa.float64()))
+
+    schema = docs.schema.fields + [
+        T.StructField("__llm_lang", T.StringType()),
+        T.StructField("__llm_score", T.DoubleType()),
+    ]
+    return docs.mapInArrow(work, T.StructType(schema))
 
 
 HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0"
 
 
-def identify_held_out(docs: DataFrame, sample_docs: int = 2000) -> DataFrame:
+def identify_held_out(
+    docs: DataFrame, sample_docs: int = 2000, keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
     """Learn from the documents that are not held out and predict all.
 
+    Returns the columns ``keep``, ``__llm_held_out``, ``__llm_lang`` and ``__llm_score``.
     A null ``doc_id`` counts as held out.
     """
     held_out = f"coalesce({HELD_OUT}, true)"
     model = fit(docs.where(f"NOT {held_out}").select("text", "lang"), sample_docs)
-    return identify(docs, model).selectExpr(
-        "doc_id", f"{held_out} AS held_out", "lang_pred", "score"
+    read = docs.select(*dict.fromkeys([*keep, "doc_id", "text"]))
+    return identify(read, model).select(
+        *keep, F.expr(held_out).alias("__llm_held_out"), "__llm_lang", "__llm_score"
     )

@@ -89,19 +89,19 @@ def drop_bitmaps(dropped: DataFrame) -> DataFrame:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its bitmap ``bits``, null if nothing goes,
     and what is left of its text as ``kept``."""
-    found = bitmaps.selectExpr("doc_id AS _id", "body AS _body", "bits AS _bits")
+    found = bitmaps.selectExpr("doc_id AS __llm_id", "body AS __llm_body", "bits AS __llm_bits")
     joined = docs.join(
         found,
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.expr("xxhash64(text)") == F.col("_body")),
+        F.col("doc_id").eqNullSafe(F.col("__llm_id"))
+        & (F.expr("xxhash64(text)") == F.col("__llm_body")),
         "left",
     )
     kept = f"""array_join(filter({LINES}, (line, i) -> coalesce(
-        shiftright(get(_bits, i div 64), CAST(i % 64 AS INT)) & 1L = 0, true)), '\n')"""
+        shiftright(get(__llm_bits, i div 64), CAST(i % 64 AS INT)) & 1L = 0, true)), '\n')"""
     return joined.selectExpr(
         *[f"`{name}`" for name in docs.columns],
-        "_bits",
-        f"if(_bits IS NULL, coalesce(text, ''), {kept}) AS _kept",
+        "__llm_bits",
+        f"if(__llm_bits IS NULL, coalesce(text, ''), {kept}) AS __llm_kept",
     )
 
 
@@ -111,9 +111,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     bitmaps = drop_bitmaps(shared_lines(docs, min_docs, min_chars))
     return apply_bitmaps(docs, bitmaps).selectExpr(
         "doc_id",
-        "_bits AS bits",
-        "_kept AS kept",
+        "__llm_bits AS bits",
+        "__llm_kept AS kept",
         f"CAST(size({LINES}) AS BIGINT) AS n_lines",
-        """coalesce(aggregate(_bits, 0L, (n, word) -> n + bit_count(word)), 0L)
+        """coalesce(aggregate(__llm_bits, 0L, (n, word) -> n + bit_count(word)), 0L)
              AS n_dropped""",
     )

@@ -72,6 +72,8 @@ class _Chunk:
 
     def add(self, doc_id: int, shingles: np.ndarray) -> None:
         digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+        if not len(shingles):  # documents without words are not copies
+            digest = f"empty {len(self.members)}".encode()
         place = self.place.setdefault(digest, len(self.sets))
         if place == len(self.sets):
             self.sets.append(shingles)
@@ -382,6 +384,6 @@ def _nameless(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of each group's first document; rows without doc_id stay."""
     found = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = found.withColumnRenamed("doc_id", "_id")
-    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("_id"), "left_semi")
+    first = found.withColumnRenamed("doc_id", "__llm_id")
+    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("__llm_id"), "left_semi")
     return kept.unionByName(docs.where("doc_id IS NULL"))

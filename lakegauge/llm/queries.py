@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakegauge.llm import (
     bpe,
+    chat,
     decontaminate,
+    html,
     language,
     linededup,
     ngramjoin,
@@ -38,6 +41,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.ngram_join(documents(spark, sf_dir)).drop("n_links")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html.main_text(pages, html.fit(pages))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(documents(spark, sf_dir)).selectExpr(
         "doc_id", "n_lines", "n_dropped", "sha2(kept, 256) AS kept_sha256"
@@ -59,7 +67,17 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify_held_out(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return language.identify_held_out(docs).selectExpr(
+        "doc_id", "__llm_held_out AS held_out",
+        "__llm_lang AS lang_pred",
+        "__llm_score AS score",
+    )
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat.link_tool_calls(conversations)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +95,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_join": op2_ngram_join,
+    "op3_html_text": op3_html_text,
     "op4_line_dedup": op4_line_dedup,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
+    "op8_chat": op8_chat,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
 }

@@ -1,0 +1,75 @@
+"""The queries against their SQL twins, and the pipeline."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from check_queries import connect, rows_of
+from lakegauge.llm import bpe, queries, sql
+from lakegauge.llm.components import stored
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sql.oracle_sql())
+def test_query_equals_sql(spark, name):
+    ours = queries.queries()[name](spark, SF).toPandas()
+    theirs = connect(SF).execute(sql.oracle_sql()[name]).df()
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    assert rows_of(ours) == rows_of(theirs)
+
+
+def test_native_plans_have_no_python(spark):
+    for name in ("op4_line_dedup", "op9_decontamination"):
+        frame = queries.queries()[name](spark, SF)
+        plan = frame._jdf.queryExecution().toString()
+        for word in ("Python", "Pandas", "Arrow", "Cartesian"):
+            assert word not in plan
+
+
+def test_stages_against_sql(spark):
+    """Every stage that SQL can express, on its own input."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        after = stored(stage(spark, docs, SF), name)
+        got = {r.doc_id: r for r in after.collect()}
+        connection = connect(SF)
+        view = docs.toPandas()
+        connection.register("stage_docs", view)
+        connection.execute(
+            "CREATE VIEW d AS SELECT row_number() OVER () AS rid, * FROM stage_docs"
+        )
+        if name == "line_dedup":
+            cut = f"WITH {sql._shared_lines('d')} SELECT doc_id, kept FROM d JOIN cut USING (rid)"
+            assert dict(connection.execute(cut).fetchall()) == {
+                k: r.text for k, r in got.items()
+            }
+            assert all(r.n_chars == len(r.text) for r in got.values())
+        elif name == "ngram_join":
+            groups = f"""WITH RECURSIVE {sql.shingle_classes('d')}, {sql.REACHED}
+                SELECT doc_id FROM d WHERE rid NOT IN (
+                  SELECT r.a FROM reached r JOIN d x ON x.rid = r.b
+                  JOIN d y ON y.rid = r.a WHERE x.doc_id < y.doc_id)"""
+            assert {k for (k,) in connection.execute(groups).fetchall()} == set(got)
+        elif name == "decontamination":
+            leaks = f"WITH {sql.benchmark_matches('d')} SELECT doc_id FROM leaks"
+            gone = {k for (k,) in connection.execute(leaks).fetchall()}
+            assert gone and set(view.doc_id) - gone == set(got)
+        elif name == "language_id":
+            assert len(got) >= 0.99 * len(view)
+        else:
+            with open(queries.vocabulary_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+                cache = bpe.Cache(bpe.TrieEncoder(f.read()))
+            for text, k in zip(view.text, view.doc_id):
+                assert bpe.round_trip(cache, [text], False)[0][:3] == tuple(got[k])[1:]
+        if name != "bpe":
+            assert after.columns == columns
+        docs = after
+
+
+def test_run(spark):
+    assert corpus_pipeline.run(spark, SF).columns == [
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256",
+    ]

@@ -17,10 +17,13 @@ of them before its texts are compared.
    the others stay with the document.
 4. Each cell proposes the pairs of its first document with the others, not all
    its pairs. Pairs that pass length and the other orders are compared exactly.
-5. In cells whose documents are then still in different components, the pairs
-   across components are proposed, filtered and compared in the same way. Pairs
-   within a component cannot change the result, so a large group of near
-   copies costs one pair per document and cell.
+5. Cells whose documents are then still in different components join up to
+   families. A family is cut into blocks of bounded size, and each pair of
+   blocks counts the common shingles of its documents in one matrix product.
+   Pairs within a component cannot change the result and are left out; those
+   across that are similar are compared exactly. So groups of copies cost one
+   pair per document and cell in step 4, and no pairs leave a task in step 5
+   but links.
 
 Hashes only propose pairs and collapse equal sets; similarity is decided on the
 words. Rows with equal ``doc_id`` are one node. A null ``doc_id`` links with
@@ -296,6 +299,91 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return columns.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
+# Bounds of a block of a family.
+BLOCK_DOCS = 512
+BLOCK_SHINGLES = 400_000
+_COLUMNS = 4096
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the common parts of sets: a product of incidence matrices, a
+    range of columns at a time."""
+    sets = left + right
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(
+        np.concatenate(sets), return_inverse=True, return_counts=True
+    )
+    order = np.argsort(column, kind="stable")
+    order = order[count[column[order]] > 1]
+    row, column = row[order], column[order]
+    _, column = np.unique(column, return_inverse=True)
+    n_columns = int(column[-1]) + 1 if len(column) else 0
+    total = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, n_columns, _COLUMNS):
+        first, last = np.searchsorted(column, [start, start + _COLUMNS])
+        matrix = np.zeros((len(sets), _COLUMNS), np.float32)
+        matrix[row[first:last], column[first:last] - start] = 1
+        total += matrix[: len(left)] @ matrix[len(left) :].T
+    return total.astype(np.int64)
+
+
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Similar pairs of a pair of blocks that are in different components."""
+    sides = []
+    low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+    for block in (low, high):
+        rows = [r for r in table.to_pylist() if r["block"] == block]
+        ids = np.array([r["id"] for r in rows], np.int64)
+        component = np.array([r["component"] for r in rows], np.int64)
+        sets = hashed_sets([r["text"] for r in rows])
+        sides.append((ids, component, sets))
+    found_a: list[int] = []
+    found_b: list[int] = []
+    if all(len(ids) for ids, _, _ in sides):
+        (ids_a, of_a, sets_a), (ids_b, of_b, sets_b) = sides
+        common = _common(sets_a, sets_b)
+        n_a = np.array([len(s) for s in sets_a])[:, None]
+        n_b = np.array([len(s) for s in sets_b])[None, :]
+        good = 100 * common >= PERCENT * (n_a + n_b - common)
+        good &= of_a[:, None] != of_b[None, :]
+        at_a, at_b = np.nonzero(good)
+        one, other = ids_a[at_a], ids_b[at_b]
+        found_a = np.minimum(one, other).tolist()
+        found_b = np.maximum(one, other).tolist()
+    return pa.Table.from_pydict(
+        {"a": found_a, "b": found_b}, schema=arrow_schema("a bigint, b bigint")
+    )
+
+
+def _crossing(apart: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Similar pairs (a, b) across components among the documents of cells
+    (a: the cell's first document, id, component)."""
+    families = components(apart.where("a < id").selectExpr("a", "id AS b"))
+    families = families.withColumnRenamed("component", "family")
+    members = apart.select("id", "component").distinct().join(families, "id")
+    members = stored(members.join(reps.select("id", "n").distinct(), "id"), "families")
+    sizes = members.groupBy("family").agg(
+        F.expr(
+            f"CAST(greatest(ceil(count(*) / {BLOCK_DOCS}), "
+            f"ceil(sum(n) / {BLOCK_SHINGLES})) AS INT)"
+        ).alias("blocks")
+    )
+    dealt = members.join(sizes, "family").join(texts, "id")
+    dealt = dealt.selectExpr(
+        "*", "CAST(pmod(xxhash64(id), blocks) AS INT) AS block"
+    ).selectExpr(
+        "family", "id", "component", "text", "block",
+        "explode(sequence(0, blocks - 1)) AS other",
+    ).selectExpr(
+        "family", "id", "component", "text", "block",
+        "least(block, other) AS low", "greatest(block, other) AS high",
+    )
+    compared = dealt.groupBy("family", "low", "high").applyInArrow(
+        _compare_blocks, "a bigint, b bigint"
+    )
+    return compared.distinct()
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """Per document ``n_shingles``, ``component_id`` and ``n_links``, the
     links that were found to settle its representative's component."""
@@ -324,29 +412,15 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
     known = components(links)
     placed = shared.join(known, "id", "left").selectExpr(
-        "code", "id", "coalesce(component, id) AS component"
+        "code", "id", "a", "coalesce(component, id) AS component"
     )
     split = placed.groupBy("code").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     )
-    apart = placed.join(split.where("low < high"), "code").join(reps, "id")
-    apart = stored(
-        apart.select("code", "id", "component", "n", "second", "third"), "apart"
-    )
-    left = apart.selectExpr(
-        "code", "id AS a", "component AS of_a", "n AS n_a",
-        "second AS second_a", "third AS third_a",
-    )
-    right = apart.selectExpr(
-        "code", "id AS b", "component AS of_b", "n AS n_b",
-        "second AS second_b", "third AS third_b",
-    )
-    condition = F.expr(f"a < b AND of_a <> of_b AND {_LENGTHS} AND {_ALL_ORDERS}")
-    crossing = left.join(right.withColumnRenamed("code", "code_b"),
-                         (F.col("code") == F.col("code_b")) & condition)
-    crossing = crossing.select("a", "b").distinct()
-    more = _links(crossing.join(proposed, ["a", "b"], "left_anti"), texts)
-    links = stored(links.union(more), "links")
+    apart = placed.join(split.where("low < high").select("code"), "code")
+    apart = stored(apart.select("a", "id", "component").distinct(), "apart")
+    crossing = _crossing(apart, reps, texts)
+    links = stored(links.union(_links(crossing, texts)), "links")
 
     final = components(links)
     degree = links.selectExpr("explode(array(a, b)) AS id").groupBy("id").count()

@@ -52,7 +52,7 @@ PERCENT = 75
 ORDERS = (1, 2, 3)
 # A chunk's bounds: places in it are 16-bit numbers.
 CHUNK_DOCS = 60_000
-CHUNK_SHINGLES = 3_000_000
+CHUNK_SHINGLES = 1_500_000
 # Ids that may be broadcast to fetch texts: about 64 MB as a hash table.
 MAX_BROADCAST_IDS = 1_000_000
 

@@ -26,7 +26,7 @@ def _powers_to(n: int) -> list[np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(2 * n, base, np.uint64)
+            steps = np.full(n + n // 4, base, np.uint64)
             steps[0] = 1
             _powers[k] = np.cumprod(steps)
     return _powers

@@ -23,13 +23,12 @@ from lakegauge.sinks.serving import (
     read_sensor_alerts,
     read_well_health,
     upsert_well_health,
-    write_sensor_alerts,
+    write_alert_windows,
 )
 from lakegauge.sources import bronze as B
 from lakegauge.sources.messages import decode_messages, encode_messages
 from lakegauge.sources.tables import read_gold, read_silver
-from lakegauge.streaming import landing
-from lakegauge.streaming import readings as streams
+from lakegauge.streaming import landing, merging
 from lakegauge.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,9 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_HOUR = datetime(2024, 2, 1, tzinfo=timezone.utc)
 # The ingest hour that the pruning query asks for.
 PRUNED_HOUR = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
-# Two daily batches for the serving tables.
-FIRST_DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
-SECOND_DAY = datetime(2024, 1, 2, tzinfo=timezone.utc)
+_DAY = "CAST(date_trunc('DAY', timestamp) AS TIMESTAMP) AS window_start"
 
 _queries: dict[str, Query] = {}
 
@@ -103,10 +100,6 @@ def _hourly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.serving_alerts(alerts, F.col("window_start"))
 
 
-def _of_day(readings: DataFrame, day: datetime) -> DataFrame:
-    return readings.where(f"to_date(timestamp) = DATE'{day:%Y-%m-%d}'")
-
-
 # Sources and sinks
 
 
@@ -231,8 +224,8 @@ def _landed(
 
 @_query
 def bronze_sink_roundtrip(spark, sf_dir):
-    """Two micro-batches into one raw table, as the size trigger makes them."""
-    return _landed(spark, sf_dir, files_per_batch=4)
+    """Several micro-batches, cut by a number of files, into one raw table."""
+    return _landed(spark, sf_dir, files_per_batch=_files_per_batch(spark))
 
 
 def _drain(query) -> None:
@@ -242,23 +235,29 @@ def _drain(query) -> None:
 
 @_query
 def well_health_upsert(spark, sf_dir):
+    """The health of all days, computed in one pass, in three batches: even
+    days, then the odd days (out of order), then the even days again."""
+    daily = X.readings(spark, sf_dir).selectExpr("*", _DAY)
+    facts = kpis.sensor_facts(daily, ["window_start"])
+    scores = kpis.health_scores(facts, ["window_start"])
     root = new_folder(spark, "well_health")
-    readings = X.readings(spark, sf_dir)
-    for day in (FIRST_DAY, SECOND_DAY):
-        statistics = kpis.sensor_statistics(_of_day(readings, day))
-        batch = serving.serving_health(kpis.health_scores(statistics), day)
+    for parity in (0, 1, 0):
+        days = scores.where(f"day(window_start) % 2 = {parity}")
+        batch = serving.serving_health(days, F.col("window_start"))
         upsert_well_health(spark, root, batch)
     return read_well_health(spark, root)
 
 
 @_query
 def alerts_append(spark, sf_dir):
-    """Two windows; the second is written twice, as a retried run would."""
+    """The windows of all days in one pass; a retried run writes the odd days
+    a second time."""
+    daily = X.readings(spark, sf_dir).selectExpr("*", _DAY)
+    alerts = kpis.alert_counts(daily, ["window_start"])
+    typed = serving.serving_alerts(alerts, F.col("window_start"))
     root = new_folder(spark, "sensor_alerts")
-    readings = X.readings(spark, sf_dir)
-    for day in (FIRST_DAY, SECOND_DAY, SECOND_DAY):
-        alerts = kpis.alert_counts(_of_day(readings, day))
-        write_sensor_alerts(serving.serving_alerts(alerts, day), root, day)
+    write_alert_windows(typed, root)
+    write_alert_windows(typed.where("day(window_start) % 2 = 1"), root)
     return read_sensor_alerts(spark, root).drop("window")
 
 
@@ -472,25 +471,35 @@ def stream_landing(spark, sf_dir):
     return _landed(spark, sf_dir)
 
 
+def _files_per_batch(spark: SparkSession) -> int:
+    """So many that the several files of an input make a few micro-batches."""
+    return max(1, X.parts(spark) // 3)
+
+
 @_query
 def stream_clean_dedup(spark, sf_dir):
-    raw = B.stream_bronze(spark, X.landed_raw(spark, sf_dir))
-    cleaned = streams.clean_stream(raw).select(*S.RAW_COLUMNS, "value_valid")
-    return _streamed(spark, cleaned)
+    """Micro-batches that each have readings of the whole time."""
+    raw = B.stream_bronze(
+        spark,
+        X.landed_raw_files(spark, sf_dir),
+        files_per_trigger=_files_per_batch(spark),
+    )
+    root, progress = new_folder(spark, "live"), new_folder(spark, "progress")
+    _drain(merging.merge_clean(raw, root, progress, available_now=True))
+    return merging.read_clean(spark, root).select(*S.RAW_COLUMNS, "value_valid")
 
 
 @_query
 def stream_hourly_stats(spark, sf_dir):
-    readings = X.to_readings(X.stream_events(spark, sf_dir))
-    return _streamed(spark, streams.hourly_statistics_stream(readings))
-
-
-def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Drain a stream into a table and read that."""
-    root = new_folder(spark, "table")
+    events = X.stream_events(
+        spark,
+        X.landed_events(spark, sf_dir),
+        maxFilesPerTrigger=_files_per_batch(spark),
+    )
+    root, progress = new_folder(spark, "live"), new_folder(spark, "progress")
     _drain(
-        landing.start_files(
-            rows, root, new_folder(spark, "progress"), available_now=True
+        merging.merge_hourly_statistics(
+            X.to_readings(events), root, progress, available_now=True
         )
     )
-    return spark.read.schema(rows.schema).parquet(root)
+    return merging.read_hourly_statistics(spark, root)

@@ -40,9 +40,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream."""
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events*.parquet")
+def stream_events(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Event files as a stream."""
+    return spark.readStream.schema(EVENTS_SCHEMA).options(**options).parquet(path)
 
 
 def to_readings(table: DataFrame) -> DataFrame:
@@ -107,9 +107,14 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Undamaged raw rows with their arrival, in arrival order over 8 tasks."""
+    """Undamaged raw rows with their arrival, in arrival order over the
+    session's number of shuffle partitions."""
     arriving = to_raw(readings(spark, sf_dir), "timestamp AS arrival")
-    return arriving.repartitionByRange(8, "arrival")
+    return arriving.repartitionByRange(parts(spark), "arrival")
+
+
+def parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _landed_once(
@@ -130,6 +135,18 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> str:
     return _landed_once(spark, sf_dir, "raw", rows.write.json)
 
 
+def landed_raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """:func:`raw_messages` as several files that each span the whole time."""
+    rows = raw_messages(spark, sf_dir).repartition(parts(spark))
+    return _landed_once(spark, sf_dir, "raw-files", rows.write.json)
+
+
+def landed_events(spark: SparkSession, sf_dir: str) -> str:
+    """The events as several files that each span the whole time."""
+    rows = events(spark, sf_dir).repartition(parts(spark))
+    return _landed_once(spark, sf_dir, "events", rows.write.parquet)
+
+
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Undamaged raw rows as JSON lines below ingest-hour directories."""
     rows = _in_order(spark, sf_dir)

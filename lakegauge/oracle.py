@@ -161,20 +161,14 @@ hourly as (
   {_statistics("window_start, window_end,")}
   from windowed group by window_start, window_end, well_id, sensor_type, location)"""
 
-_ON_DAY = "cast(ts as date) = date '2024-01-0{day}'"
-
-
-def _day_health(day: int) -> str:
-    """Typed health rows of one day, as CTEs with the day in their names."""
-    return f"""
-stats{day} as ({_statistics()} from readings where {_ON_DAY.format(day=day)}
-  group by well_id, sensor_type, location),
-rollup{day} as ({_rollup(f"stats{day}")}),
-scored{day} as (select *, {_SCORE} as health_score from rollup{day}),
-health{day} as (select *, {_STATUS} as status from scored{day}),
-typed{day} as ({_TYPED.format(
-    source=f"health{day}", stamp=f"timestamp '2024-01-0{day} 00:00:00'"
-)})"""
+_DAILY_HEALTH = f"""
+daily as (select *, date_trunc('day', ts)::timestamp as day from readings),
+day_stats as ({_statistics("day,")} from daily
+  group by day, well_id, sensor_type, location),
+day_rollup as ({_rollup("day_stats", "day,")}),
+day_scores as (select *, {_SCORE} as health_score from day_rollup),
+day_health as (select *, {_STATUS} as status from day_scores),
+day_typed as ({_TYPED.format(source="day_health", stamp="day")})"""
 
 
 def _with(*parts: str) -> str:
@@ -231,15 +225,13 @@ from plain""",
         "decode_messages": f"{_with(_PLAIN)} select {_RAW} from plain",
         "ingest_partitions": f"{_with()} select event_id, {_INGEST} from readings",
         "bronze_sink_roundtrip": _PLAIN_WITH_HOURS,
-        "well_health_upsert": f"""{_with(_day_health(1), _day_health(2))},
-both_days as (select * from typed1 union all select * from typed2)
-select * from both_days
+        "well_health_upsert": f"""{_with(_DAILY_HEALTH)}
+select * from day_typed
 qualify row_number() over (partition by well_id order by updated_at desc) = 1""",
         "alerts_append": f"""{_with()}
 select well_id, sensor_type, {_SEVERITY} as severity, count(*) as alert_count,
        date_trunc('day', ts)::timestamp as window_start
-from readings
-where is_anomaly and ({_ON_DAY.format(day=1)} or {_ON_DAY.format(day=2)})
+from readings where is_anomaly
 group by 1, 2, 3, 5""",
         "serving_cast": f"""{_with(_STATS, _HEALTH)},
 typed as ({_TYPED.format(source="health", stamp=_RUN)})
@@ -363,7 +355,5 @@ from health""",
 select {_INGEST}, count(*) as raw_count from readings group by 1, 2, 3, 4""",
         "stream_landing": _PLAIN_WITH_HOURS,
         "stream_clean_dedup": _DEDUP,
-        "stream_hourly_stats": f"""{_with(_HOURLY_STATS)}
-select * from hourly
-where window_end <= (select max(ts) - interval 1 hour from readings)""",
+        "stream_hourly_stats": f"{_with(_HOURLY_STATS)} select * from hourly",
     }

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, connect
+from lakegauge import catalog, oracle
 from tests.conftest import executed_plan
 
 SF = "/root/testdata/sf0.001"
@@ -16,25 +17,25 @@ def connection():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_query_equals_sql(spark, connection, name):
     good, text = compare(spark, connection, name, SF)
     assert good, text
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_plan_rules(spark, name):
     """No Python workers, cross joins or joins at all, one-task gathers only
     for results that are a single row."""
-    plan = executed_plan(entry.queries()[name](spark, SF))
+    plan = executed_plan(catalog.queries()[name](spark, SF))
     for operator in ("Python", "Pandas", "Cartesian", "NestedLoop", "Join"):
         assert operator not in plan
     if name not in ("drop_counts", "quality_summary", "serving_counts"):

@@ -11,7 +11,7 @@ from lakegauge.functions.timeparts import ingest_columns
 from lakegauge.operators import cleaning, dedup, windows
 from lakegauge.sources import bronze
 from lakegauge.sources.messages import decode_messages, encode_messages
-from lakegauge.streaming import landing
+from lakegauge.streaming import landing, merging
 from lakegauge.streaming import readings as streams
 from tests.conftest import HOUR, RUN, rows_of
 
@@ -169,7 +169,7 @@ def test_late_rows_miss_their_closed_window(spark, tmp_path, readings_of):
 
 
 def test_stream_statistics_equal_batch(spark, tmp_path):
-    readings = X.to_readings(X.stream_events(spark, SF))
+    readings = X.to_readings(X.stream_events(spark, f"{SF}/events*.parquet"))
     hourly = streams.hourly_statistics_stream(readings, delay="0 seconds")
     table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
     drain(landing.start_files(hourly, table, progress, available_now=True))
@@ -177,3 +177,33 @@ def test_stream_statistics_equal_batch(spark, tmp_path):
     latest = X.readings(spark, SF).agg(F.max("timestamp")).first()[0]
     closed = batch.where(F.col("window_end") <= F.lit(latest))
     assert rows_of(spark.read.parquet(table)) == rows_of(closed)
+
+
+@pytest.mark.parametrize("files", [1, 2, 6])
+def test_merged_stream_equals_batch(spark, tmp_path, files):
+    """However the files, which all span the whole time, are cut into batches."""
+    folder, root = str(tmp_path / "raw"), str(tmp_path / "live")
+    X.raw_messages(spark, SF).repartition(6).write.json(folder)
+    raw = bronze.stream_bronze(spark, folder, files_per_trigger=files)
+    drain(merging.merge_clean(raw, root, str(tmp_path / "progress"), available_now=True))
+    columns = [*S.RAW_COLUMNS, "value_valid"]
+    all_raw = bronze.read_bronze(spark, folder)
+    batch = dedup.dedup_readings(cleaning.clean(all_raw, RUN).select(*columns))
+    assert rows_of(merging.read_clean(spark, root).select(*columns)) == rows_of(batch)
+    rejected = spark.read.parquet(f"{root}/rejects").drop("batch")
+    expected = cleaning.rejects(all_raw).select(*rejected.columns)
+    assert rows_of(rejected) == rows_of(expected)
+
+
+@pytest.mark.parametrize("files", [1, 2, 6])
+def test_merged_statistics_equal_batch(spark, tmp_path, files):
+    folder, root = str(tmp_path / "events"), str(tmp_path / "live")
+    X.events(spark, SF).repartition(6).write.parquet(folder)
+    events = X.stream_events(spark, folder, maxFilesPerTrigger=files)
+    query = merging.merge_hourly_statistics(
+        X.to_readings(events), root, str(tmp_path / "progress"), available_now=True
+    )
+    drain(query)
+    batch = windows.tumbling_statistics(X.readings(spark, SF))
+    found = merging.read_hourly_statistics(spark, root)
+    assert rows_of(found.select(*batch.columns)) == rows_of(batch)

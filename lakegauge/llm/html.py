@@ -304,12 +304,13 @@ def extract(html: str | None, model: Model) -> str:
     return "\n".join(n.text for n, p in zip(nodes, content) if n.text and p >= 0.5)
 
 
-def fit(pages: DataFrame, sample_pages: int = 300) -> Model:
-    """Model from at most about ``sample_pages`` pages that mark an article."""
-    marked = pages.where("lower(html) RLIKE '<(article|main)'").select("html")
-    share = sample_pages / max(1, marked.count())
-    sample = marked.where(f"pmod(xxhash64(html), 1000000) < {share * 1e6}")
-    return fit_pages([row["html"] for row in sample.toLocalIterator()])
+def fit(pages: DataFrame, sample_pages: int = 600) -> Model:
+    """Model from the pages that mark an article among at most about
+    ``sample_pages`` pages."""
+    share = sample_pages / max(1, pages.count())
+    sample = pages.where(f"pmod(xxhash64(html), 1000000) < {share * 1e6}")
+    marked = sample.where("lower(html) RLIKE '<(article|main)'").select("html")
+    return fit_pages([row["html"] for row in marked.toLocalIterator()])
 
 
 def main_text(pages: DataFrame, model: Model) -> DataFrame:

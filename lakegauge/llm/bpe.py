@@ -66,7 +66,7 @@ class TrieEncoder:
         )
         self._library = Tokenizer.from_str(vocabulary).pre_tokenizer
         self._stable: dict[bytes, bool] = {}
-        self._beside: dict[tuple[bytes, bytes], bool] = {}
+        self._beside: dict[int, bool] = {}  # by both ids
 
     def _bytes(self, token: str) -> bytes:
         return bytes(map(self._byte_of.__getitem__, token))
@@ -90,11 +90,12 @@ class TrieEncoder:
         return self._stable[token]
 
     def _stand_together(self, left: bytes, right: bytes) -> bool:
-        known = self._beside.get((left, right))
+        key = self.id_of[left] << 32 | self.id_of[right]
+        known = self._beside.get(key)
         if known is None:
             if len(self._beside) > MAX_ENTRIES:
                 self._beside.clear()
-            known = self._beside[left, right] = self._never_merge(left, right)
+            known = self._beside[key] = self._never_merge(left, right)
         return known
 
     def _never_merge(self, left: bytes, right: bytes) -> bool:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,8 +42,18 @@ def near_class(*categories: str) -> str:
 GROUP_CHARS = 1_000_000
 
 
+# Rows of an Arrow batch that are Python objects at once.
+SLICE_ROWS = 256
+
+
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """A column's values in order, a few rows at a time."""
+    for start in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(start, SLICE_ROWS).to_pylist()
+
+
 def groups(
-    texts: list[str | None], chars: int = GROUP_CHARS
+    texts: Iterable[str | None], chars: int = GROUP_CHARS
 ) -> Iterator[list[str | None]]:
     """Texts in order, in groups of about so many characters."""
     group, size = [], 0
@@ -74,7 +84,7 @@ def per_batch(
         make = start()
         for batch in batches:
             done = 0
-            for group in groups(batch.column("text").to_pylist()):
+            for group in groups(texts_of(batch.column("text"))):
                 columns = list(zip(*make(group)))
                 ids = batch.column("doc_id").slice(done, len(group))
                 done += len(group)

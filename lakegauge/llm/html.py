@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import arrow_schema, groups
+from lakegauge.llm.common import arrow_schema, groups, texts_of
 
 # Elements that never have text of the page.
 HIDDEN = {
@@ -321,7 +321,7 @@ def main_text(pages: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for group in groups(batch.column("html").to_pylist()):
+            for group in groups(texts_of(batch.column("html"))):
                 texts = [extract(html, shared.value) for html in group]
                 part = batch.slice(done, len(group))
                 done += len(group)

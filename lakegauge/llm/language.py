@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegauge.llm.common import arrow_schema, groups
+from lakegauge.llm.common import arrow_schema, groups, texts_of
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -37,7 +37,7 @@ SMOOTHING = 0.3
 ROUNDS = 8
 PENALTY = 4.0
 # Characters whose words are in one pass of the inference.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 400_000
 _LETTER = re.compile(r"[^\W\d_]")
 # Bytes of letters: ASCII letters and all of the multi-byte characters.
 _IS_LETTER = np.zeros(256, bool)
@@ -84,7 +84,7 @@ def fit(labelled: DataFrame, sample_docs: int = 2000) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = texts_of(batch.column("text"))
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 buckets, _ = trigrams(text.lower().encode())
                 own = found.setdefault(lang, np.zeros(BUCKETS, np.int64))
@@ -185,7 +185,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[str, float]] = []
-            for group in groups(batch.column("text").to_pylist(), GROUP_CHARS):
+            for group in groups(texts_of(batch.column("text")), GROUP_CHARS):
                 found += infer(shared.value, group)
             columns = list(zip(*found)) or [(), ()]
             batch = batch.append_column("__llm_lang", pa.array(columns[0], pa.string()))

@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import arrow_schema, groups, id_and_text
+from lakegauge.llm.common import arrow_schema, groups, id_and_text, texts_of
 from lakegauge.llm.components import components, stored
 from lakegauge.llm.shingles import exact_set, hashed_sets, mixed
 
@@ -53,6 +53,8 @@ ORDERS = (1, 2, 3)
 # A chunk's bounds: places in it are 16-bit numbers.
 CHUNK_DOCS = 60_000
 CHUNK_SHINGLES = 1_500_000
+# Characters of text that are hashed at once.
+GROUP_CHARS = 250_000
 # Ids that may be broadcast to fetch texts: about 64 MB as a hash table.
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -87,18 +89,24 @@ class _Chunk:
         return len(self.members) >= CHUNK_DOCS or self.size >= CHUNK_SHINGLES
 
     def packed(self, chunk: int, n_ranges: int) -> pa.RecordBatch:
-        """The members, and by range the shingles' codes with their places."""
+        """The members, and by range the shingles' codes with their places. The
+        numbers are changed in place: a chunk is a worker's largest object."""
         shingles = np.concatenate(self.sets)
         places = np.repeat(
             np.arange(len(self.sets), dtype=np.uint16), [len(s) for s in self.sets]
         )
-        high, low = shingles >> np.uint64(32), shingles & np.uint64(0xFFFFFFFF)
-        ranges = (high * np.uint64(n_ranges)) >> np.uint64(32)
-        keys = (ranges << np.uint64(32)) | low
+        self.sets.clear()
+        keys = shingles >> np.uint64(32)
+        keys *= np.uint64(n_ranges)
+        keys &= np.uint64(0xFFFFFFFF << 32)  # the range, in the upper half
+        shingles &= np.uint64(0xFFFFFFFF)
+        keys |= shingles
+        del shingles
         order = np.argsort(keys)
         keys, places = keys[order], places[order]
-        ranges = keys >> np.uint64(32)
-        first = np.flatnonzero(np.diff(ranges, prepend=np.uint64(2**33)))
+        del order
+        ranges = (keys >> np.uint64(32)).astype(np.uint32)
+        first = np.flatnonzero(np.diff(ranges, prepend=np.uint32(2**32 - 1)))
         members = np.array(self.members, np.int64)
         # The members travel with a range that is not counted.
         kinds, numbers = [0], [chunk % n_ranges]
@@ -143,7 +151,7 @@ def _chunks(docs: DataFrame, n_ranges: int) -> DataFrame:
         chunk = _Chunk()
         for batch in batches:
             ids, done = batch.column("doc_id").to_pylist(), 0
-            for group in groups(batch.column("text").to_pylist()):
+            for group in groups(texts_of(batch.column("text")), GROUP_CHARS):
                 for shingles in hashed_sets(group):
                     chunk.add(ids[done], shingles)
                     done += 1
@@ -443,7 +451,7 @@ def _nameless(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(exact_set(text)) for text in batch.column("text").to_pylist()]
+            sizes = [len(exact_set(text)) for text in texts_of(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n"])
 
     sized = docs.mapInArrow(work, "n bigint")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakegauge.llm.common import arrow_schema, groups, id_and_text, near_class
+from lakegauge.llm.common import arrow_schema, groups, id_and_text, near_class, texts_of
 
 END_ID = 2
 SCALE_BITS = 16
@@ -260,7 +260,7 @@ def write_token_files(
         size = 0
         for batch in batches:
             ids, done = batch.column("doc_id").to_pylist(), 0
-            for group in groups(batch.column("text").to_pylist()):
+            for group in groups(texts_of(batch.column("text"))):
                 for data in tokenizer.encode(group):
                     held.append((ids[done], data + end))
                     done += 1

@@ -12,6 +12,8 @@ _PLACE = _RNG.integers(1, 2**63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+# Bytes whose prefix sums are held at once; a longer word is taken as a whole.
+BLOCK_BYTES = 1 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -38,10 +40,20 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     space = _IS_SPACE[raw]
     edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers_to(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * down[starts]), starts
+    sums = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = starts[at]
+        fits = int(np.searchsorted(ends, begin + BLOCK_BYTES, side="right"))
+        own = slice(at, max(at + 1, fits))
+        first, last = starts[own] - begin, ends[own] - begin
+        block = raw[begin : begin + last[-1]]
+        up, down = _powers_to(len(block) + 1)
+        total = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(_BYTE[block] * up[: len(block)], out=total[1:])
+        sums[own] = (total[last] - total[first]) * down[first]
+        at = own.stop
+    return mixed(sums), starts
 
 
 def hashed_sets(texts: list[str | None]) -> list[np.ndarray]:

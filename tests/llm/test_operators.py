@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 from lakegauge.llm import (
     bpe,
     chat,
+    common,
     components,
     decontaminate,
     html,
@@ -27,6 +29,7 @@ from lakegauge.llm import (
     quality,
     queries,
     rans,
+    shingles,
 )
 from lakegauge.llm.boosting import boost
 from lakegauge.llm.shingles import exact_set, hashed_sets
@@ -507,3 +510,22 @@ def test_token_files(spark, odd, none, tmp_path):
             crc = zlib.crc32(np.array(ids, "<u4").tobytes())
             assert tuple(found) == (row.doc_id, start, len(ids), crc)
             start += len(ids)
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    data = b" ".join([b"ab", b"c" * 40, b"\n", b"ab", b"de f"] * 9)
+    whole, starts = shingles.word_hashes(data)
+    monkeypatch.setattr(shingles, "BLOCK_BYTES", 16)
+    cut, places = shingles.word_hashes(data)
+    assert cut.tolist() == whole.tolist() and places.tolist() == starts.tolist()
+    assert len(set(whole.tolist())) == len(set(data.split()))
+
+
+def test_columns_are_read_in_slices(monkeypatch):
+    monkeypatch.setattr(common, "SLICE_ROWS", 2)
+    column = pa.array(["a", None, "bb", "", "c"])
+    assert list(common.texts_of(column)) == column.to_pylist()
+    assert list(common.groups(common.texts_of(column), 2)) == [
+        ["a", None, "bb"], ["", "c"],
+    ]
+    assert list(common.texts_of(column.slice(0, 0))) == []

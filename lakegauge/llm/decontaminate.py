@@ -8,22 +8,35 @@ along that alignment every window of ``WINDOW`` words (or the whole item, if it
 is shorter) is compared word by word, and at least ``MIN_EQUAL`` per cent equal
 words in one window make the document contaminated.
 
-Items with fewer than ``SPAN`` words prove nothing and are left out, as are null
-texts. Documents with null or empty text are clean. Rows with equal ``doc_id``
+The masks of a window's length hit every window of that length with enough equal
+words, so no alignment that would be accepted is missed. Items of any length take
+part, those of one word too; items with null text or without words are left out.
+Documents with null or empty text are clean. Rows with equal ``doc_id``
 get the same verdict; rows without a ``doc_id`` are judged as one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.llm.common import id_and_text
 
-# Places within a window that count; each mask spans SPAN words.
+# Fixed values of the SQL twin alone, which finds fewer alignments.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8))
 SPAN = 9
+# Places that count, by the least length of a window (the item's, if
+# it is shorter than WINDOW). Tests enumerate that no accepted window is missed.
 WINDOW = 13
+SEED_MASKS = {
+    1: ((0,),),
+    2: ((0, 1),),
+    3: ((0, 1, 2), (0, 1, 3), (0, 2, 3)),
+    9: ((0, 1, 2, 4), (0, 3, 4, 5)),
+    13: ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5), (0, 1, 6, 8, 9)),
+}
 MIN_EQUAL = 75
 # Seeds of a benchmark that may be broadcast: 32 bytes each, 64 MB at most.
 MAX_BROADCAST_SEEDS = 2_000_000
@@ -34,40 +47,58 @@ def _hashed_words(text: str) -> str:
     return f"transform(filter({words}, w -> w <> ''), w -> xxhash64(w))"
 
 
-def _seeds(place: str) -> str:
-    """All masks' seeds of the window at a place of the array ``words``."""
+def masks_of(long: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for windows of so many words."""
+    return SEED_MASKS[max(least for least in SEED_MASKS if least <= long)]
+
+
+def _seeds(masks: Iterable[tuple[int, ...]], place: str) -> str:
+    """The masks' seeds of a place of the array ``words``; null past its end."""
     each = []
-    for number, mask in enumerate(MASKS):
-        at = ", ".join(f"words[{place} + {offset}]" for offset in mask)
-        each.append(f"xxhash64({number}, {at})")
+    for mask in masks:
+        at = ", ".join(f"get(words, {place} + {offset})" for offset in mask)
+        seed = f"xxhash64('{mask}', {at})"
+        each.append(f"if({place} + {mask[-1]} < size(words), {seed}, NULL)")
     return f"array({', '.join(each)})"
 
 
-def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """(seed, item_id, item_place), one row per mask and window."""
-    items = benchmark_words(benchmark)
+def benchmark_seeds(items: DataFrame) -> DataFrame:
+    """(seed, item_id, item_place), one row per mask and place of the items."""
     places = items.selectExpr(
-        "item_id", "words", f"explode(sequence(0, size(words) - {SPAN})) AS item_place"
+        "item_id", "words", "explode(sequence(0, size(words) - 1)) AS item_place"
     )
-    return places.selectExpr(
-        "item_id", "item_place", f"explode({_seeds('item_place')}) AS seed"
-    ).distinct()
+    starts = sorted(SEED_MASKS, reverse=True)
+    by_length = " ".join(
+        f"WHEN size(words) >= {least} THEN {_seeds(SEED_MASKS[least], 'item_place')}"
+        for least in starts
+    )
+    seeds = places.selectExpr(
+        "item_id", "item_place", f"explode(CASE {by_length} END) AS seed"
+    )
+    return seeds.where("seed IS NOT NULL").distinct()
 
 
 def benchmark_words(benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("text IS NOT NULL").selectExpr(
         "CAST(item_id AS BIGINT) AS item_id", f"{_hashed_words('text')} AS words"
     )
-    return items.where(f"size(words) >= {SPAN}")
+    return items.where("size(words) > 0")
+
+
+def _needed_masks(items: DataFrame) -> list[tuple[int, ...]]:
+    """The masks of the lengths there are; the driver gets WINDOW numbers at most."""
+    lengths = items.selectExpr(f"least({WINDOW}, size(words)) AS long").distinct()
+    return sorted({mask for row in lengths.collect() for mask in masks_of(row["long"])})
 
 
-def _document_seeds(words: DataFrame, *columns: str) -> DataFrame:
-    """A row per window and mask of documents (.., words)."""
+def _document_seeds(
+    words: DataFrame, masks: list[tuple[int, ...]], *columns: str
+) -> DataFrame:
+    """A row per place and mask of documents (.., words)."""
     places = words.selectExpr(*columns, "words", "posexplode(words) AS (place, word)")
-    places = places.where(f"place <= size(words) - {SPAN}")
     return places.selectExpr(
-        *columns, "words", "place", f"explode({_seeds('place')}) AS seed"
-    )
+        *columns, "words", "place", f"explode({_seeds(masks, 'place')}) AS seed"
+    ).where("seed IS NOT NULL")
 
 
 # Equal words of the best window along the alignment at ``shift``: running
@@ -105,19 +136,23 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words = docs.where("text IS NOT NULL").selectExpr(
         "doc_id", f"{_hashed_words('text')} AS words"
     )
-    words = words.where(f"size(words) >= {SPAN}")
-    seeds, items = benchmark_seeds(benchmark), benchmark_words(benchmark)
+    items = benchmark_words(benchmark)
+    seeds, masks = benchmark_seeds(items), _needed_masks(items)
+    if not masks:
+        return words.selectExpr(
+            "doc_id", "CAST(NULL AS BIGINT) AS item_id", "CAST(NULL AS DOUBLE) AS equal_pct"
+        ).where("false")
     items = items.withColumnRenamed("words", "item_words")
     # One item under each id; a repeated id's items differ by their words.
     if seeds.count() <= MAX_BROADCAST_SEEDS:
         hits = (
-            _document_seeds(words, "doc_id")
+            _document_seeds(words, masks, "doc_id")
             .join(F.broadcast(seeds), "seed")
             .join(F.broadcast(items), "item_id")
             .selectExpr("*", "place - item_place AS shift")
         )
     else:
-        found = _document_seeds(words, "doc_id").drop("words").join(seeds, "seed")
+        found = _document_seeds(words, masks, "doc_id").drop("words").join(seeds, "seed")
         pairs = found.selectExpr("doc_id", "item_id", "place - item_place AS shift")
         pairs = pairs.distinct().withColumnRenamed("doc_id", "__llm_id")
         same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -454,6 +455,65 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(odd, benchmark.where("false")).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("long", range(1, decontaminate.WINDOW + 1))
+def test_masks_hit_every_accepted_window(long):
+    differ = long - -(-decontaminate.MIN_EQUAL * long // 100)
+    masks = decontaminate.masks_of(long)
+    placed = [
+        {start + k for k in m} for m in masks for start in range(long - m[-1])
+    ]
+    for places in itertools.combinations(range(long), differ):
+        assert any(not seed & set(places) for seed in placed)
+
+
+def brute_matches(docs, items):
+    """Seedless: every alignment, every window."""
+    found = {}
+    for d, doc in enumerate(docs):
+        doc = doc.split()
+        for i, item in enumerate(items):
+            item = item.split()
+            long = min(decontaminate.WINDOW, len(item))
+            best = 0
+            for shift in range(1 - len(item), len(doc)):
+                equal = [
+                    0 <= shift + k < len(doc) and doc[shift + k] == w
+                    for k, w in enumerate(item)
+                ]
+                best = max(
+                    [best] + [sum(equal[k : k + long]) for k in range(len(item) - long + 1)]
+                )
+            if 100 * best >= decontaminate.MIN_EQUAL * long:
+                found[d, i] = 100.0 * best / long
+    return found
+
+
+def test_decontamination_equals_brute_force(spark, monkeypatch):
+    rnd = random.Random(13)
+    items = [" ".join(f"i{n}x{k}" for k in range(n)) for n in [*range(1, 16), 30]]
+    items.append("a b a c a b b a c c a b a")
+    docs = ["", "a b", items[8][:-5], " ".join(rnd.choices("abc", k=200))]
+    for item in items:
+        words = item.split()
+        docs.append(" ".join(w if k % 4 != 3 else "other" for k, w in enumerate(words)))
+        for differ in (0, 1, 2, 3, 3, 4):
+            changed = list(words)
+            for k in rnd.sample(range(len(words)), min(differ, len(words))):
+                changed[k] = "other"
+            around = rnd.choices(["f", "g", "h"], k=rnd.randrange(4))
+            docs.append(" ".join([*around, *changed, *reversed(around)]))
+        docs.append(" ".join(words[len(words) // 5 :]))  # the item hangs over the start
+    benchmark = spark.createDataFrame(
+        list(enumerate(items)), "item_id bigint, text string"
+    )
+    want = brute_matches(docs, items)
+    for limit in (decontaminate.MAX_BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_SEEDS", limit)
+        got = decontaminate.matches(docs_of(spark, docs), benchmark).collect()
+        assert {(r.doc_id, r.item_id): r.equal_pct for r in got} == pytest.approx(want)
+        assert len(got) == len(want)
+
+
 def test_large_benchmarks_are_not_broadcast(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     small = rows(queries.op9_decontamination(spark, sf))

@@ -4,8 +4,8 @@ A turn's text is plain, or a JSON object with ``tool_calls`` (a list of
 ``id``, ``name``, ``arguments``) or with ``tool_call_id`` (the result of a
 call). Calls and results meet in a hash join by conversation and identifier.
 Order: a call comes after the calls whose results its arguments name as
-``{"$ref": id}``, a result after its call; levels are worked out by joins, one
-round per step of the longest chain. Arguments are validated against the
+``{"$ref": id}``, a result after its call, in other turns too; last needed turns
+and levels are worked out by joins, one round per step of the longest chain. Arguments are validated against the
 tool's schema. Every message leaves as canonical JSON: sorted keys, no spaces,
 text unescaped.
 
@@ -184,26 +184,42 @@ _KEY = ["conv_id", "call_id"]
 
 
 def _levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level): 0 for calls that need none, else one more
-    than the highest needed; null in or after a circle. Needed identifiers of
-    no call are ignored."""
+    """(conv_id, call_id, at_turn, level) of calls (.., needs, turn, result_turn).
+
+    ``at_turn`` is the last turn among the call's own and the ``after`` of what
+    it needs, that is of their places and results; ``level`` is 0 for calls that
+    need none, else one more than the highest needed. Both are null in or after
+    a circle. Needed identifiers of no call are ignored."""
     needs = calls.select("conv_id", "call_id", F.explode("needs").alias("need"))
     known = calls.selectExpr("conv_id", "call_id AS need")
     edges = stored(needs.join(known, ["conv_id", "need"]).distinct(), "needs")
     waiting = edges.select(*_KEY).distinct()
-    done = calls.join(waiting, _KEY, "left_anti").selectExpr(*_KEY, "0L AS level")
+    turns = calls.select(*_KEY, "turn", "result_turn")
+    done = calls.join(waiting, _KEY, "left_anti").selectExpr(
+        *_KEY, "turn AS at_turn", "greatest(turn, result_turn) AS after", "0L AS level"
+    )
     done = stored(done, "levels")
     while True:
-        ready = done.selectExpr("conv_id", "call_id AS need", "level")
+        ready = done.selectExpr("conv_id", "call_id AS need", "after", "level")
         reached = (
             edges.join(ready, ["conv_id", "need"], "left")
             .groupBy(*_KEY)
-            .agg(F.max("level").alias("level"), F.expr("bool_and(level IS NOT NULL) AS all"))
+            .agg(
+                F.max("after").alias("after"),
+                F.max("level").alias("level"),
+                F.expr("bool_and(level IS NOT NULL) AS all"),
+            )
         )
         fresh = reached.where("all").join(done.select(*_KEY), _KEY, "left_anti")
-        fresh = stored(fresh.selectExpr(*_KEY, "level + 1 AS level"), "levels")
+        fresh = fresh.join(turns, _KEY).selectExpr(
+            *_KEY,
+            "greatest(turn, after) AS at_turn",
+            "greatest(turn, after, result_turn) AS after",
+            "level + 1 AS level",
+        )
+        fresh = stored(fresh, "levels")
         if fresh.isEmpty():
-            return calls.select(*_KEY).join(done, _KEY, "left")
+            return calls.select(*_KEY).join(done.drop("after"), _KEY, "left")
         done = stored(done.union(fresh), "levels")
 
 
@@ -217,12 +233,15 @@ def link_tool_calls(
         F.expr("min_by(needs, struct(turn, part)) AS needs"),
         F.min(F.struct("turn", "part")).alias("at"),
     )
-    levels = _levels(first).join(first.select(*_KEY, "at"), _KEY)
     results = made.where("kind = 'result'")
-    answered = results.select(*_KEY).distinct().withColumn("answered", F.lit(True))
-    known = levels.join(answered, _KEY, "left").select(
-        *_KEY, "level", "at", F.coalesce("answered", F.lit(False)).alias("answered")
+    answered = results.groupBy(*_KEY).agg(
+        F.max("turn").alias("result_turn"), F.lit(True).alias("answered")
     )
+    first = first.join(answered, _KEY, "left").withColumn("turn", F.col("at.turn"))
+    known = _levels(first).join(first.select(*_KEY, "at", "answered"), _KEY).select(
+        *_KEY, "level", "at_turn", "at",
+        F.coalesce("answered", F.lit(False)).alias("answered"),
+    )
     plain = made.where("call_id IS NULL").selectExpr(
         "*", "turn AS order_turn", "0L AS level"
     )
@@ -237,7 +256,9 @@ def link_tool_calls(
                 WHEN status = 'ok' AND NOT answered THEN 'unanswered'
                 ELSE status END AS status""",
         """CASE WHEN kind = 'result' AND at IS NOT NULL
-                THEN greatest(turn, at.turn) ELSE turn END AS order_turn""",
+                THEN greatest(turn, at.turn, at_turn)
+                WHEN struct(turn, part) = at THEN greatest(turn, at_turn)
+                ELSE turn END AS order_turn""",
         """CASE WHEN kind = 'result' AND at IS NOT NULL
                 THEN 2 * coalesce(level, 0L) + 1
                 ELSE 2 * coalesce(level, 0L) END AS level""",

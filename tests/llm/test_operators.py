@@ -414,6 +414,30 @@ def test_chat_links(spark):
     assert chat.link_tool_calls(table.where("false"), TOOLS).count() == 0
 
 
+def test_chat_order_across_turns(spark):
+    ref = lambda k: {"a": {"$ref": k}}
+    turns = [
+        (1, json.dumps({"tool_call_id": "early", "content": 0})),
+        (2, json.dumps({"tool_calls": [call("late", ref("first")), call("early", ref("late"))]})),
+        (3, json.dumps({"tool_call_id": "late", "content": 2})),
+        (4, json.dumps({"tool_calls": [call("first", {"a": 1}), call("own", ref("late"))]})),
+        (6, json.dumps({"tool_call_id": "first", "content": 1})),
+        (7, json.dumps({"tool_call_id": "own", "content": 3})),
+    ]
+    table = spark.createDataFrame(
+        [(1, t, "tool", text) for t, text in turns],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    got = chat.link_tool_calls(table, TOOLS).collect()
+    place = {(r.kind, r.call_id): (r.order_turn, r.level, r.part) for r in got}
+    assert all(r.status == "ok" for r in got)
+    for before, after in (("first", "late"), ("late", "early"), ("late", "own")):
+        assert place["call", before] < place["result", before] < place["call", after]
+    assert place["call", "early"] < place["result", "early"]
+    assert place["call", "own"] < place["result", "own"]
+    assert place["call", "first"] == (4, 0, 0)
+
+
 def test_chat_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     want = sorted(

@@ -5,9 +5,16 @@ A turn's text is plain, or a JSON object with ``tool_calls`` (a list of
 call). Calls and results meet in a hash join by conversation and identifier.
 Order: a call comes after the calls whose results its arguments name as
 ``{"$ref": id}``, a result after its call, in other turns too; last needed turns
-and levels are worked out by joins, one round per step of the longest chain. Arguments are validated against the
-tool's schema. Every message leaves as canonical JSON: sorted keys, no spaces,
-text unescaped.
+and levels are worked out by joins, one round per step of the longest chain.
+Every message leaves as canonical JSON: sorted keys, no spaces, text unescaped.
+
+Arguments are validated against the tool's schema. Schemas come from the data: a
+turn of the role ``system`` or ``developer`` whose text is an object with a list
+``tools`` of ``name`` and ``parameters`` (or ``input_schema``; also inside
+``function``) declares them for its conversation. A call meets the last
+declaration up to its turn, or else the first. ``unknown_tool`` is a tool that
+the conversation's lists do not name, ``no_schema`` one without a schema, or any
+in a conversation without a list; a schema that cannot be read is ``bad_schema``.
 
 Each message is a row of its own with its place (``order_turn``, ``level``,
 ``part``), so a conversation of any length is never gathered. Null text is the
@@ -24,7 +31,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakegauge.llm.common import arrow_schema
@@ -103,10 +110,9 @@ def _object(text: str) -> dict[str, Any] | None:
     return found if isinstance(found, dict) else None
 
 
-def messages_of(
-    role: str | None, text: str | None, schemas: dict[str, dict[str, Any]]
-) -> list[dict[str, Any]]:
-    """The messages of a turn: kind, call id, needed ids, status, JSON."""
+def messages_of(role: str | None, text: str | None) -> list[dict[str, Any]]:
+    """The messages of a turn: kind, call id, needed ids, JSON; of calls the
+    tool's name and the arguments as JSON."""
     role, text = role if role is not None else "unknown", text or ""
     found = _object(text)
     calls = found.get("tool_calls") if found else None
@@ -114,21 +120,18 @@ def messages_of(
         made = []
         if found.get("content"):
             plain = {"content": found["content"], "role": role}
-            made.append(_message("text", None, [], "ok", plain))
+            made.append(_message("text", None, [], plain))
         for call in calls:
             call_id, name = call.get("id"), call.get("name")
             arguments = call.get("arguments")
             if isinstance(arguments, str):
                 arguments = _object(arguments) or arguments
-            status = "ok"
-            if not isinstance(name, str) or name not in schemas:
-                status = "unknown_tool"
-            elif not isinstance(arguments, dict) or not valid(arguments, schemas[name]):
-                status = "bad_arguments"
             whole = {"arguments": arguments, "id": call_id, "name": name}
             needs = sorted(references(arguments))
             key = call_id if isinstance(call_id, str) else None
-            made.append(_message("call", key, needs, status, {"role": role, "tool_call": whole}))
+            tool = name if isinstance(name, str) else None
+            body = {"role": role, "tool_call": whole}
+            made.append(_message("call", key, needs, body, tool, canonical(arguments)))
         return made
     if found and isinstance(found.get("tool_call_id"), str):
         body = {
@@ -136,27 +139,86 @@ def messages_of(
             "role": role,
             "tool_call_id": found["tool_call_id"],
         }
-        return [_message("result", found["tool_call_id"], [], "ok", body)]
-    return [_message("text", None, [], "ok", {"content": text, "role": role})]
+        return [_message("result", found["tool_call_id"], [], body)]
+    return [_message("text", None, [], {"content": text, "role": role})]
 
 
-def _message(kind, call_id, needs, status, body) -> dict[str, Any]:
+def _message(kind, call_id, needs, body, tool=None, arguments=None) -> dict[str, Any]:
     return {
         "kind": kind,
         "call_id": call_id,
         "needs": needs,
-        "status": status,
         "message": canonical(body),
+        "tool": tool,
+        "arguments": arguments,
     }
 
 
+def tools_of(text: str | None) -> list[tuple[str, str | None]] | None:
+    """Names and JSON schemas (null without one) of the text's list ``tools``;
+    None if it has no such list."""
+    tools = (_object(text or "") or {}).get("tools")
+    if not isinstance(tools, list):
+        return None
+    found = []
+    for tool in tools:
+        if isinstance(tool, dict) and isinstance(tool.get("function"), dict):
+            tool = tool["function"]
+        if isinstance(tool, dict) and isinstance(tool.get("name"), str):
+            schema = tool.get("parameters", tool.get("input_schema"))
+            found.append((tool["name"], None if schema is None else canonical(schema)))
+    return found
+
+
+def call_status(arguments: str, schema: str | None) -> str:
+    """Of a call of a known tool: both are JSON."""
+    if schema is None:
+        return "no_schema"
+    value, kind = json.loads(arguments), json.loads(schema)
+    try:
+        fits = isinstance(value, dict) and valid(value, kind)
+    except (AttributeError, KeyError, TypeError, RecursionError):
+        return "bad_schema"
+    return "ok" if fits else "bad_arguments"
+
+
+_TOOLS = "conv_id bigint, turn bigint, place bigint, tool string, schema string"
+
+
+def declared_tools(conversations: DataFrame) -> DataFrame:
+    """A row per declaration, and one without a tool per list of tools."""
+    target = arrow_schema(_TOOLS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                {"conv_id": row["conv_id"], "turn": row["turn"], "place": place,
+                 "tool": tool, "schema": schema}
+                for row in batch.to_pylist()
+                for tools in [tools_of(row["text"])] if tools is not None
+                for place, (tool, schema) in enumerate([(None, None), *tools])
+            ]
+            yield pa.RecordBatch.from_pylist(rows, target)
+
+    lists = conversations.where(
+        """role IN ('system', 'developer') AND conv_id IS NOT NULL
+           AND turn IS NOT NULL AND contains(text, '{')"""
+    )
+    columns = lists.selectExpr(
+        "CAST(conv_id AS BIGINT) AS conv_id",
+        "CAST(turn AS BIGINT) AS turn",
+        "CAST(text AS STRING) AS text",
+    )
+    return columns.mapInArrow(work, _TOOLS)
+
+
 _MESSAGES = (
     "conv_id bigint, turn bigint, part bigint, role string, kind string, "
-    "call_id string, needs array<string>, status string, message string"
+    "call_id string, needs array<string>, message string, tool string, arguments string"
 )
 
 
-def messages(conversations: DataFrame, schemas: dict[str, dict[str, Any]]) -> DataFrame:
+def messages(conversations: DataFrame) -> DataFrame:
     target = arrow_schema(_MESSAGES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,9 +227,7 @@ def messages(conversations: DataFrame, schemas: dict[str, dict[str, Any]]) -> Da
                 {"conv_id": row["conv_id"], "turn": row["turn"], "part": part,
                  "role": row["role"], **message}
                 for row in batch.to_pylist()
-                for part, message in enumerate(
-                    messages_of(row["role"], row["text"], schemas)
-                )
+                for part, message in enumerate(messages_of(row["role"], row["text"]))
             ]
             yield pa.RecordBatch.from_pylist(rows, target)
 
@@ -180,6 +240,57 @@ def messages(conversations: DataFrame, schemas: dict[str, dict[str, Any]]) -> Da
     return columns.mapInArrow(work, _MESSAGES)
 
 
+_JUDGED = f"{_MESSAGES}, status string"
+
+
+def _judged(
+    calls: DataFrame, declared: DataFrame, schemas: dict[str, dict[str, Any]]
+) -> DataFrame:
+    """Calls with a status by their tool's schema: the one that the conversation
+    declares last up to the call's turn, or else first; or else of ``schemas``."""
+    everywhere = {name: canonical(schema) for name, schema in schemas.items()}
+    target = arrow_schema(_JUDGED)
+    by_tool = Window.partitionBy("conv_id", "tool").orderBy("turn", "place", "schema")
+    # Declarations that change nothing are left out: a call meets one row only.
+    changes = (
+        declared.where("tool IS NOT NULL")
+        .withColumn("is_first", F.row_number().over(by_tool) == 1)
+        .withColumn("same", F.lag("schema").over(by_tool).eqNullSafe(F.col("schema")))
+        .where("is_first OR NOT same")
+        .withColumn("until", F.lead("turn").over(by_tool))
+        .selectExpr(
+            "conv_id", "tool", "if(is_first, NULL, turn) AS since", "until", "schema",
+            "true AS declared",
+        )
+    )
+    lists = declared.select("conv_id").distinct().withColumn("listed", F.lit(True))
+    meets = (
+        (calls["conv_id"] == changes["conv_id"])
+        & (calls["tool"] == changes["tool"])
+        & (changes["since"].isNull() | (calls["turn"] >= changes["since"]))
+        & (changes["until"].isNull() | (calls["turn"] < changes["until"]))
+    )
+    met = calls.join(changes, meets, "left").drop(changes["conv_id"], changes["tool"])
+    met = met.join(lists, "conv_id", "left")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                if row["declared"]:
+                    row["status"] = call_status(row["arguments"], row["schema"])
+                elif row["tool"] in everywhere:
+                    row["status"] = call_status(row["arguments"], everywhere[row["tool"]])
+                elif row["listed"] or everywhere:
+                    row["status"] = "unknown_tool"
+                else:
+                    row["status"] = "no_schema"
+            yield pa.RecordBatch.from_pylist(rows, target)
+
+    columns = [*calls.columns, "schema", "declared", "listed"]
+    return met.select(columns).mapInArrow(work, _JUDGED)
+
+
 _KEY = ["conv_id", "call_id"]
 
 
@@ -227,7 +338,7 @@ def link_tool_calls(
     conversations: DataFrame, schemas: dict[str, dict[str, Any]] | None = None
 ) -> DataFrame:
     """A row per message: place, role, kind, status and canonical JSON."""
-    made = stored(messages(conversations, schemas or {}), "messages")
+    made = stored(messages(conversations), "messages")
     called = made.where("kind = 'call' AND call_id IS NOT NULL")
     first = called.groupBy(*_KEY).agg(
         F.expr("min_by(needs, struct(turn, part)) AS needs"),
@@ -242,6 +353,10 @@ def link_tool_calls(
         *_KEY, "level", "at_turn", "at",
         F.coalesce("answered", F.lit(False)).alias("answered"),
     )
+    declared = stored(declared_tools(conversations), "tools")
+    judged = _judged(made.where("kind = 'call'"), declared, schemas or {})
+    others = made.where("kind <> 'call'").withColumn("status", F.lit("ok"))
+    made = others.unionByName(stored(judged, "calls"))
     plain = made.where("call_id IS NULL").selectExpr(
         "*", "turn AS order_turn", "0L AS level"
     )

@@ -438,6 +438,51 @@ def test_chat_order_across_turns(spark):
     assert place["call", "first"] == (4, 0, 0)
 
 
+def test_chat_schemas_come_from_the_data(spark, tmp_path):
+    def tools(*listed):
+        return json.dumps({"tools": listed})
+
+    def calls(*made):
+        return json.dumps({"tool_calls": made})
+
+    def answer(call_id):
+        return json.dumps({"tool_call_id": call_id, "content": 1})
+
+    text = {"type": "object", "properties": {"a": {"type": "string"}}}
+    add = {"name": "add", "parameters": TOOLS["add"]}
+    rows_ = [
+        (1, 0, "system", tools(add, {"name": "bare"},
+                               {"name": "odd", "parameters": {"type": "thing"}})),
+        (1, 1, "assistant", calls(
+            call("a", {"a": 1}), call("b", {"a": "x"}), call("c", {}, "gone"),
+            call("d", {}, "bare"), call("e", {}, "odd"), call(None, {"a": -1}))),
+        (1, 2, "system", tools(add)),
+        (1, 3, "developer", tools({"type": "function", "function": {
+            "name": "add", "parameters": text}})),
+        (1, 4, "assistant", calls(call("f", {"a": 1}), call("g", {"a": "x"}))),
+        *[(1, 5, "tool", answer(k)) for k in "abcdefg"],
+        (2, 0, "user", tools(add)),  # no declaration
+        (2, 1, "assistant", calls(call("a", {"a": 1}))),
+        (2, 2, "tool", answer("a")),
+        (3, 0, "assistant", calls(call("a", {"a": 1}), call("z", {"a": 1}, "gone"))),
+        (3, 1, "system", tools(add)),
+        (3, 2, "tool", answer("a")),
+        (None, 0, "system", tools(add)),
+        (None, 1, "assistant", calls(call("a", {"a": 1}))),
+    ]
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    spark.createDataFrame(rows_, schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op8_chat(spark, str(tmp_path)).collect()
+    statuses = {(r.conv_id, r.call_id): r.status for r in got if r.kind == "call"}
+    assert statuses == {
+        (1, "a"): "ok", (1, "b"): "bad_arguments", (1, "c"): "unknown_tool",
+        (1, "d"): "no_schema", (1, "e"): "bad_schema", (1, None): "bad_arguments",
+        (1, "f"): "bad_arguments", (1, "g"): "ok", (2, "a"): "no_schema",
+        (3, "a"): "ok", (3, "z"): "unknown_tool", (None, "a"): "no_schema",
+    }
+    assert len(got) == len(rows_) + 7  # a message each, and one more per further call
+
+
 def test_chat_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
     want = sorted(

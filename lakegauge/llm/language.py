@@ -36,6 +36,8 @@ MAX_LANGUAGES = 256
 SMOOTHING = 0.3
 ROUNDS = 8
 PENALTY = 4.0
+# What single precision may add to a word's log likelihood.
+ROUNDING = 1e-5
 # Characters whose words are in one pass of the inference.
 GROUP_CHARS = 400_000
 _LETTER = re.compile(r"[^\W\d_]")
@@ -164,12 +166,23 @@ def infer(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     np.put_along_axis(rank, order, np.arange(n)[None, :], axis=1)
     price = PENALTY * 0.5 * np.log(lengths + 1.0)
     best, best_shares = likelihood - n * price, shares
-    for size in range(1, min(n, 4)):
-        own, likelihood = _proportions(odds, (rank < size) * 1.0, starts, lengths)
-        value = likelihood - size * price
-        better = value >= best
-        best = np.where(better, value, best)
-        best_shares = np.where(better[:, None], own, best_shares)
+    for size in range(1, n):
+        # No mixture is likelier than each word's best language (odds 1), so a
+        # text whose best value is above the price alone is settled.
+        is_open = best <= ROUNDING * lengths - size * price
+        if not is_open.any():
+            break
+        left, some = np.flatnonzero(is_open), lengths[is_open]
+        own, likelihood = _proportions(
+            odds[np.repeat(is_open, lengths)],
+            (rank[left] < size) * 1.0,
+            np.cumsum(some) - some,
+            some,
+        )
+        value = likelihood - size * price[left]
+        better = value >= best[left]
+        best[left[better]] = value[better]
+        best_shares[left[better]] = own[better]
     top = np.argmax(best_shares, axis=1)
     for text, language, row in zip(present, top, best_shares):
         score = min(1.0, float(row[language]))

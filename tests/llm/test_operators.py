@@ -354,6 +354,23 @@ def test_language_mixture():
     assert language.infer(tied, ["abc"])[0][0] == "x"  # the first in order
 
 
+def test_language_mixture_of_more_than_three():
+    texts = {"u": "aba bab", "v": "cdc dcd", "w": "efe fef", "x": "ghg hgh"}
+    # Two near copies of x take their part of it only if all six are allowed.
+    texts |= {"y": texts["x"], "z": texts["x"]}
+    counts = np.full((language.BUCKETS, 6), 0.3)
+    for k, text in enumerate(texts.values()):
+        seen = np.bincount(language.trigrams(text.encode())[0], minlength=language.BUCKETS)
+        counts[:, k] += seen * (0.999 if k > 3 else 1)
+    model = language.Model(
+        tuple(texts), np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    )
+    four = "aba bab cdc dcd efe fef ghg hgh ghg hgh " * 20
+    got = language.infer(model, ["aba bab " * 9, four, "cdc dcd"])
+    assert [lang for lang, _ in got] == ["u", "x", "v"]
+    assert abs(got[1][1] - 0.4) < 0.02 and got[0][1] == got[2][1] == 1.0
+
+
 def test_language_odd_rows(odd, none):
     labelled = odd.selectExpr("*", "if(doc_id = 4, NULL, 'en') AS lang")
     table = language.identify_held_out(labelled)

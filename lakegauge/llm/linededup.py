@@ -1,10 +1,11 @@
 """Removal of lines that many documents share, with keep bitmaps.
 
-Lines become hashes of their keys. Rows of hash, document and place are dealt
-out by range and sorted within the parts by hash, document and place: equal
-lines follow each other, and a frequent line spreads over several parts. Each
-part streams over its runs and counts their first occurrences per document;
-the counts of the parts are merged by hash. What comes back per document is a
+Lines become hashes of their keys. First occurrences are marked by a sort within
+each document; rows of hash, document and place are dealt out by range, so a
+frequent line spreads over several parts, and each part counts first occurrences
+by hash; the counts of the parts are merged. (Spark drops the sort within parts
+from the plan: neither the counts nor the join with them read it.)
+What comes back per document is a
 bitmap of its lines, as 64-bit words up to the last word with a dropped line;
 documents that lose nothing have none, and no text moves until it is cut down.
 

@@ -18,6 +18,7 @@ from lakegauge.llm import (
     pii,
     quality,
     rans,
+    runs,
 )
 from lakegauge.llm.common import documents, id_and_text
 from lakegauge.workspace import new_folder
@@ -92,6 +93,46 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_token_files(spark, root)
 
 
+_CRC = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY))"
+_SPLIT = r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)"
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents as the contract of op11 asks: one in ten, by its id, repeats
+    words from a place on. A null id is none of them."""
+    chosen = id_and_text(docs).selectExpr(
+        "doc_id", "text", f"{_CRC} % 10 = 0 AS chosen", f"{_CRC} DIV 10 AS g"
+    )
+    cut = chosen.selectExpr(
+        "*", f"CASE WHEN chosen THEN {_SPLIT} ELSE array() END AS words"
+    ).selectExpr("*", "size(words) AS n")
+    placed = cut.selectExpr("*", "CASE WHEN n > 0 THEN CAST(g % n AS INT) END AS a")
+    paced = placed.selectExpr("*", "1 + CAST((n - a) DIV (3 + g % 8) AS INT) AS p")
+    repeated = """transform(words, (word, i) ->
+        if(i < a, word, element_at(words, 1 + a + (i - a) % p)))"""
+    return paced.selectExpr(
+        "doc_id",
+        f"CASE WHEN n > 0 THEN array_join({repeated}, ' ') ELSE text END AS text",
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_planted_runs(documents(spark, sf_dir)))
+    line = "concat(concat_ws(',', run.start, run.length, run.period), '\\n')"
+    longest = """array_max(transform(runs, run ->
+        struct(run.length AS length, -run.start AS start, -run.period AS period)))"""
+    return found.selectExpr("*", f"{longest} AS best").selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS BIGINT) AS n_runs",
+        "-best.start AS start",
+        "best.length AS length",
+        "-best.period AS period",
+        "1000 * best.length DIV -best.period AS exponent_milli",
+        f"sha2(array_join(transform(runs, run -> {line}), ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_join": op2_ngram_join,
@@ -103,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat": op8_chat,
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 

@@ -13,8 +13,10 @@ from lakegauge.llm import (
     decontaminate,
     html,
     language,
+    licenses,
     linededup,
     ngramjoin,
+    phrases,
     pii,
     quality,
     rans,
@@ -133,6 +135,24 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(documents(spark, sf_dir)).selectExpr(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        "array_join(base_labels, ',') AS base_labels",
+        "array_join(labels, ',') AS labels",
+        "score",
+        "CAST(size(spans) AS BIGINT) AS n_spans",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_join": op2_ngram_join,
@@ -145,6 +165,8 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_token_files": op10_token_files,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
+    "op13_license_scan": op13_license_scan,
 }
 
 

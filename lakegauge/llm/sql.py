@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakegauge.llm import decontaminate as D
+from lakegauge.llm import licenses as L
 from lakegauge.llm.quality import BOILERPLATE, SEPARATORS, Limits
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -173,10 +174,128 @@ FROM documents d LEFT JOIN leaks l ON l.doc_id IS NOT DISTINCT FROM d.doc_id
 """
 
 
+_LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz')"""
+
+
+def _listed(words: str) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in words.split()) + "]"
+
+
+_PHRASES = ", ".join(f"({_listed(p)}, '{label}')" for p, label in L.BASE.items())
+_TEMPLATES = ", ".join(
+    f"({number}, '{t.label}', {_listed(t.text)}, {_listed(t.key)}::VARCHAR[])"
+    for number, t in enumerate(L.TEMPLATES)
+)
+
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER},
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+phrases(phrase, label) AS (VALUES {_PHRASES}),
+based AS (
+  SELECT rid, i - 1 AS pos, label
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), phrases
+  WHERE ws[i] = phrase[1] AND ws[i:i + len(phrase) - 1] = phrase),
+bases AS (
+  SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+         list(label) AS base FROM based GROUP BY rid),
+templates(template, label, words, key) AS (VALUES {_TEMPLATES}),
+grams AS (
+  SELECT template, i - 1 AS place, words[i:i + {L.SHINGLE - 1}] AS gram
+  FROM (SELECT template, words,
+               unnest(range(1, len(words) - {L.SHINGLE - 2})) AS i FROM templates)),
+telling AS (
+  SELECT template, i - 1 AS place
+  FROM (SELECT template, words, key,
+               unnest(range(1, len(words) - {L.SHINGLE - 2})) AS i FROM templates),
+       (SELECT unnest(range(0, 100)) AS k)
+  WHERE k <= len(key) - {L.SHINGLE} AND i > k
+    AND words[i - k:i - k + len(key) - 1] = key),
+rolled AS (
+  SELECT rid, i - 1 AS pos, ws[i:i + {L.SHINGLE - 1}] AS gram
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - {L.SHINGLE - 2})) AS i FROM d)),
+hits AS (SELECT rid, template, pos, place, pos - place AS diagonal
+         FROM rolled JOIN grams USING (gram)),
+begun AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER w <= {L.DRIFT}, false) AS goes_on
+  FROM (SELECT DISTINCT rid, template, diagonal FROM hits)
+  WINDOW w AS (PARTITION BY rid, template ORDER BY diagonal)),
+numbered AS (
+  SELECT *, count(*) FILTER (NOT goes_on) OVER (
+    PARTITION BY rid, template ORDER BY diagonal) AS span FROM begun),
+found AS (SELECT DISTINCT rid, template, span, place
+          FROM hits JOIN numbered USING (rid, template, diagonal)),
+shares AS (
+  SELECT rid, template, span, count(DISTINCT place + k) AS covered
+  FROM (SELECT *, unnest(range(0, {L.SHINGLE})) AS k FROM found) GROUP BY ALL),
+told AS (
+  SELECT rid, template, span, count(t.place) AS n
+  FROM found f LEFT JOIN telling t USING (template, place) GROUP BY ALL),
+spans AS (
+  SELECT rid, label, covered / len(words) AS share
+  FROM shares JOIN told USING (rid, template, span) JOIN templates USING (template)
+  WHERE covered / len(words) >= {L.MIN_SHARE}
+    AND n = greatest(0, len(key) - {L.SHINGLE - 1})),
+added AS (SELECT rid, list(label) AS more, max(share) AS best, count(*) AS n_spans
+          FROM spans GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  array_to_string(list_sort(list_distinct(coalesce(base, []))), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(
+    list_concat(coalesce(base, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM d LEFT JOIN bases USING (rid) LEFT JOIN added USING (rid)
+"""
+
+
+OP12 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array({_LOWER},
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+counts AS (
+  SELECT lang, m, ws[i:i + m - 1] AS ws, count(*) AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4]) AS m)
+  WHERE i + m - 1 <= len(ws) GROUP BY lang, m, ws[i:i + m - 1]),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE m > 1 AND f >= 30),
+inner_parts AS (
+  SELECT lang, ws[i:i + size - 1] AS ws, max(f) AS most
+  FROM (SELECT *, unnest(range(1, m + 1)) AS i FROM candidates),
+       (SELECT unnest([2, 3]) AS size)
+  WHERE size < m AND i + size - 1 <= m GROUP BY lang, ws[i:i + size - 1]),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inner_parts p USING (lang, ws)
+  WHERE most IS NULL OR 100 * most < 80 * f),
+cuts AS (
+  SELECT c.lang, c.ws, c.f AS a, c.k AS k, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * c.f) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+  JOIN counts x ON x.lang = c.lang AND x.ws = c.ws[1:c.k]
+  JOIN counts y ON y.lang = c.lang AND y.ws = c.ws[c.k + 1:c.m]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (
+             PARTITION BY lang, ws ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM (SELECT *, array_to_string(ws, ' ') AS phrase FROM lowest))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a,
+  CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": OP1,
         "op2_ngram_join": OP2,
         "op4_line_dedup": OP4,
         "op9_decontamination": OP9,
+        "op12_collocations": OP12,
+        "op13_license_scan": OP13,
     }

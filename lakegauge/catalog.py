@@ -6,19 +6,23 @@ Each takes (spark, sf_dir) and reads the whole table. Timestamps leave as
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakegauge import fixtures as X
 from lakegauge import schema as S
 from lakegauge.functions import timeparts
 from lakegauge.operators import cleaning, dedup, kpis, serving, windows
-from lakegauge.plans.hourly import Roots, clean_to_kpis
+from lakegauge.plans.hourly import Roots, clean_to_kpis, run_pending
+from lakegauge.plans.rebuild import rebuild
 from lakegauge.session import use_utc
-from lakegauge.sinks.hours import write_silver
+from lakegauge.sinks.hours import write_gold, write_silver
 from lakegauge.sinks.serving import (
     read_sensor_alerts,
     read_well_health,
@@ -27,10 +31,19 @@ from lakegauge.sinks.serving import (
 )
 from lakegauge.sources import bronze as B
 from lakegauge.sources.messages import decode_messages, encode_messages
-from lakegauge.sources.tables import read_gold, read_silver
+from lakegauge.sources.tables import read_gold, read_history, read_silver
 from lakegauge.streaming import landing, merging
 from lakegauge.workspace import new_folder
 
+REJECTED_SCHEMA = T.StructType(
+    [
+        *S.RAW_FIELDS,
+        T.StructField(S.CORRUPT, T.StringType()),
+        T.StructField(cleaning.REASON, T.StringType()),
+        *S.INGEST_FIELDS,
+    ]
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The run that writes the whole fixture as one ingest hour.
@@ -91,6 +104,25 @@ def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.serving_health(scores, RUN_HOUR)
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> Roots:
+    """KPI and serving tables of the readings, written on first use."""
+
+    def write(base: str) -> None:
+        roots = Roots.below(base)
+        hourly = X.readings(spark, sf_dir).selectExpr(
+            "*", *timeparts.ingest_columns("timestamp")
+        )
+        statistics = kpis.statistics_of(
+            kpis.sensor_facts(hourly, S.INGEST_COLUMNS), S.INGEST_COLUMNS
+        )
+        scores = kpis.health_scores(statistics, S.INGEST_COLUMNS)
+        write_gold("well_health_scores", scores, roots.gold, None)
+        upsert_well_health(spark, roots.well_health, _health(spark, sf_dir))
+        write_alert_windows(_hourly_alerts(spark, sf_dir), roots.sensor_alerts)
+
+    return Roots.below(X.landed_once(spark, sf_dir, "stored", write))
+
+
 def _hourly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts table as hourly runs would have filled it."""
     hourly = X.readings(spark, sf_dir).selectExpr(
@@ -339,7 +371,9 @@ def health_view(spark, sf_dir):
 
 @_query
 def dash_well_status(spark, sf_dir):
-    return serving.well_status(_health(spark, sf_dir), "WELL-003")
+    """From the serving table: the well reaches the file as a filter."""
+    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
+    return serving.well_status(health, "WELL-003")
 
 
 @_query
@@ -397,14 +431,18 @@ def quality_summary(spark, sf_dir):
 
 @_query
 def serving_counts(spark, sf_dir):
+    """Rows of the serving tables; no column of them is read."""
+    roots = _stored(spark, sf_dir)
     return serving.serving_counts(
-        _health(spark, sf_dir), _hourly_alerts(spark, sf_dir)
+        read_well_health(spark, roots.well_health),
+        read_sensor_alerts(spark, roots.sensor_alerts),
     )
 
 
 @_query
 def dash_active_alerts(spark, sf_dir):
-    return serving.active_alerts(_hourly_alerts(spark, sf_dir))
+    alerts = read_sensor_alerts(spark, _stored(spark, sf_dir).sensor_alerts)
+    return serving.active_alerts(alerts)
 
 
 @_query
@@ -437,7 +475,89 @@ def rolling_avg(spark, sf_dir):
 
 @_query
 def dash_anomaly_series(spark, sf_dir):
-    return windows.anomaly_series(windows.health_history(X.readings(spark, sf_dir)))
+    """From the KPI tables that hourly runs keep, not from readings."""
+    return windows.anomaly_series(
+        read_history(spark, _stored(spark, sf_dir).gold, "well_health_scores")
+    )
+
+
+# Whole runs
+
+
+def _results(spark: SparkSession, roots: Roots) -> DataFrame:
+    """What a run leaves behind in each table, by ingest hour."""
+    hour = f"concat_ws('-', {', '.join(S.INGEST_COLUMNS)}) AS ingest_hour"
+    stamped = "date_format({}, 'yyyy-MM-dd-HH') AS ingest_hour"
+    statistics, scores, alerts = (
+        read_gold(spark, roots.gold, table)
+        for table in ("sensor_statistics", "well_health_scores", "alert_summary")
+    )
+    place = "coalesce(location, '?')"
+    parts = [
+        read_silver(spark, roots.silver)
+        .groupBy(F.expr(hour), "well_id", F.expr("sensor_type AS item"))
+        .agg(F.expr("count(*) AS row_count"), F.expr("max(value) AS figure"))
+        .selectExpr("'silver' AS table_name", "*"),
+        spark.read.schema(REJECTED_SCHEMA)
+        .parquet(roots.rejects)
+        .groupBy(F.expr(hour), F.expr(f"{cleaning.REASON} AS item"))
+        .agg(
+            F.expr("count(*) AS row_count"),
+            F.expr(f"CAST(count({S.CORRUPT}) AS DOUBLE) AS figure"),
+        )
+        .selectExpr("'rejects'", "ingest_hour", "NULL", "item", "row_count", "figure"),
+        statistics.selectExpr(
+            "'sensor_statistics'", hour, "well_id",
+            f"concat_ws('/', sensor_type, {place})", "reading_count", "avg_value",
+        ),
+        scores.selectExpr(
+            "'well_health_scores'", hour, "well_id",
+            f"concat_ws('/', status, {place})", "total_readings", "health_score",
+        ),
+        alerts.selectExpr(
+            "'alert_summary'", hour, "well_id",
+            "concat_ws('/', sensor_type, severity)", "alert_count", "NULL",
+        ),
+        read_well_health(spark, roots.well_health).selectExpr(
+            "'well_health'", stamped.format("updated_at"), "well_id",
+            f"concat_ws('/', status, {place})", "total_readings",
+            "CAST(health_score AS DOUBLE)",
+        ),
+        read_sensor_alerts(spark, roots.sensor_alerts).selectExpr(
+            "'sensor_alerts'", stamped.format("window_start"), "well_id",
+            "concat_ws('/', sensor_type, severity)", "alert_count", "NULL",
+        ),
+    ]
+    return functools.reduce(DataFrame.union, parts)
+
+
+@_query
+def hourly_run(spark, sf_dir):
+    """All hours of the raw table, one by one, as a scheduler would."""
+    roots = Roots.below(new_folder(spark, "hourly"))
+    roots = replace(roots, bronze=X.landed_damaged(spark, sf_dir))
+    run_pending(spark, roots, RUN_HOUR)
+    return _results(spark, roots)
+
+
+@_query
+def rebuild_run(spark, sf_dir):
+    """The same tables from a few jobs over all hours."""
+    target = Roots.below(new_folder(spark, "rebuilt"), silver_partitions=())
+    raw = X.landed_damaged(spark, sf_dir)
+    return _results(spark, rebuild(spark, raw, target, processed_at=RUN_HOUR))
+
+
+@_query
+def field_errors(spark, sf_dir):
+    """Fields whose text is no value of their type, and the lines they are in."""
+    found = cleaning.field_errors(
+        B.read_bronze(spark, X.landed_damaged(spark, sf_dir))
+    )
+    return found.selectExpr(
+        "well_id", "timestamp AS sent", "sensor_type", "field", "text",
+        "length(raw_text) > length(text) AS in_line",
+    )
 
 
 # Reports
@@ -450,12 +570,14 @@ def top_alerts(spark, sf_dir):
 
 @_query
 def lowest_health(spark, sf_dir):
-    return serving.lowest_health(_health(spark, sf_dir))
+    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
+    return serving.lowest_health(health)
 
 
 @_query
 def dash_health_all(spark, sf_dir):
-    return serving.health_by_well(_health(spark, sf_dir))
+    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
+    return serving.health_by_well(health)
 
 
 @_query
@@ -489,6 +611,19 @@ def stream_clean_dedup(spark, sf_dir):
     return merging.read_clean(spark, root).select(*S.RAW_COLUMNS, "value_valid")
 
 
+@_query
+def stream_drop_counts(spark, sf_dir):
+    """Exact counts of a stream, whatever its cuts and retries."""
+    raw = B.stream_bronze(
+        spark,
+        X.landed_raw_files(spark, sf_dir),
+        files_per_trigger=_files_per_batch(spark),
+    )
+    root, progress = new_folder(spark, "live"), new_folder(spark, "progress")
+    _drain(merging.merge_clean(raw, root, progress, available_now=True, fan=2))
+    return merging.stream_counts(spark, root)
+
+
 @_query
 def stream_hourly_stats(spark, sf_dir):
     events = X.stream_events(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakegauge import schema as S
 from lakegauge.functions.labels import lookup, valid_range
-from lakegauge.sinks.bronze import write_bronze
+from lakegauge.sinks.bronze import write_bronze, write_lines
 from lakegauge.sources.messages import encode_messages
 from lakegauge.workspace import new_folder
 
@@ -79,11 +79,12 @@ def to_raw(table: DataFrame, *others: str) -> DataFrame:
     return table.selectExpr(*texts, *others)
 
 
-def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_messages(spark: SparkSession, sf_dir: str, *others: str) -> DataFrame:
     """Raw rows as an at-least-once source delivers them.
 
     All events once, one in ten a second time, and with missing, blank,
-    padded or unreadable fields in some rows.
+    padded or unreadable fields in some rows. ``others`` are further columns
+    of the readings.
     """
     delivered = readings(spark, sf_dir).selectExpr(
         "*", "explode(sequence(1, if(event_id % 10 = 3, 2, 1))) AS delivery"
@@ -103,6 +104,40 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(event_id % 107 = 0, NULL, value) AS value",
         "unit",
         "if(event_id % 59 = 0, NULL, is_anomaly) AS is_anomaly",
+        *others,
+    )
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`raw_messages` as JSON lines of three ingest hours, with more that
+    goes wrong: lines cut off, values that are no number, sensors nobody
+    knows, wells that report from a second place, and text in the place of
+    numbers and flags."""
+    rows = raw_messages(spark, sf_dir, "event_id").selectExpr(
+        "event_id",
+        "well_id",
+        "if(event_id % 73 = 0, 'Dock 9', location) AS location",
+        "depth_m",
+        "timestamp",
+        "if(event_id % 71 = 0, 'humidity', sensor_type) AS sensor_type",
+        "if(event_id % 67 = 0, double('NaN'), value) AS value",
+        "unit",
+        "is_anomaly",
+    )
+    written = rows.selectExpr(
+        "event_id",
+        f"""to_json(struct({", ".join(S.RAW_COLUMNS)}),
+            map('ignoreNullFields', 'false')) AS line""",
+    )
+    deep = """regexp_replace(line, '"depth_m":[0-9.]+', '"depth_m":"deep"')"""
+    odd = """regexp_replace(line, '"is_anomaly":[a-z]+', '"is_anomaly":"maybe"')"""
+    return written.selectExpr(
+        f"""CASE WHEN event_id % 61 = 0 THEN left(line, 20)
+                 WHEN event_id % 79 = 0 THEN {deep}
+                 WHEN event_id % 83 = 0 THEN {odd}
+                 ELSE line END AS value""",
+        "TIMESTAMP '2024-02-01 00:00:00' "
+        "+ make_interval(0, 0, 0, 0, CAST(event_id % 3 AS INT)) AS arrival",
     )
 
 
@@ -117,7 +152,7 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _landed_once(
+def landed_once(
     spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]
 ) -> str:
     """Folder of an input that is written on first use in a session."""
@@ -132,30 +167,38 @@ def _landed_once(
 def landed_raw(spark: SparkSession, sf_dir: str) -> str:
     """:func:`raw_messages` as JSON lines."""
     rows = raw_messages(spark, sf_dir)
-    return _landed_once(spark, sf_dir, "raw", rows.write.json)
+    return landed_once(spark, sf_dir, "raw", rows.write.json)
 
 
 def landed_raw_files(spark: SparkSession, sf_dir: str) -> str:
     """:func:`raw_messages` as several files that each span the whole time."""
     rows = raw_messages(spark, sf_dir).repartition(parts(spark))
-    return _landed_once(spark, sf_dir, "raw-files", rows.write.json)
+    return landed_once(spark, sf_dir, "raw-files", rows.write.json)
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> str:
     """The events as several files that each span the whole time."""
     rows = events(spark, sf_dir).repartition(parts(spark))
-    return _landed_once(spark, sf_dir, "events", rows.write.parquet)
+    return landed_once(spark, sf_dir, "events", rows.write.parquet)
 
 
 def landed_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Undamaged raw rows as JSON lines below ingest-hour directories."""
     rows = _in_order(spark, sf_dir)
-    return _landed_once(
+    return landed_once(
         spark, sf_dir, "bronze", lambda root: write_bronze(rows, root, "arrival")
     )
 
 
+def landed_damaged(spark: SparkSession, sf_dir: str) -> str:
+    """:func:`damaged_lines` below ingest-hour directories."""
+    lines = damaged_lines(spark, sf_dir)
+    return landed_once(
+        spark, sf_dir, "damaged", lambda root: write_lines(lines, root, "arrival")
+    )
+
+
 def landed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Undamaged raw rows as encoded messages in several files."""
     messages = encode_messages(_in_order(spark, sf_dir))
-    return _landed_once(spark, sf_dir, "messages", messages.write.parquet)
+    return landed_once(spark, sf_dir, "messages", messages.write.parquet)

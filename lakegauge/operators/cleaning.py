@@ -12,6 +12,9 @@ from lakegauge.functions.labels import valid_range
 from lakegauge.functions.timeparts import parse_instant
 
 REASON = "reject_reason"
+BAD_FIELD = "bad_field"
+OUTCOME = "outcome"
+CLEAN, DAMAGED, REJECTED = "clean", "damaged", "rejected"
 
 
 def _replaced(df: DataFrame, **expressions: str) -> DataFrame:
@@ -72,9 +75,57 @@ def tag_rejects(raw: DataFrame) -> DataFrame:
     return _replaced(normal, **{REASON: reject_reason(normal.columns)})
 
 
+def with_outcome(raw: DataFrame) -> DataFrame:
+    """Tagged rows with their outcome: ``clean``, ``rejected``, or ``damaged``
+    for a usable row with an optional field that the parser could not take.
+
+    The parser gives the text of a line with any such field in ``CORRUPT``;
+    unless the row is unusable for it, the others of its fields are good.
+    """
+    tagged = tag_rejects(raw)
+    damaged = f"{S.CORRUPT} IS NOT NULL" if S.CORRUPT in tagged.columns else "false"
+    return tagged.selectExpr(
+        "*",
+        f"""CASE WHEN {REASON} IS NOT NULL THEN '{REJECTED}'
+            WHEN {damaged} THEN '{DAMAGED}' ELSE '{CLEAN}' END AS {OUTCOME}""",
+    )
+
+
+def rejects_of(outcomes: DataFrame) -> DataFrame:
+    """Rows with a reason and their raw text: those that cleaning leaves out,
+    and with ``bad_field`` the damaged ones, which are readings all the same."""
+    left = outcomes.where(f"{OUTCOME} <> '{CLEAN}'")
+    return _replaced(left, **{REASON: f"coalesce({REASON}, '{BAD_FIELD}')"}).drop(
+        OUTCOME
+    )
+
+
 def rejects(raw: DataFrame) -> DataFrame:
-    """Rows that cleaning leaves out, each with its reason and raw text."""
-    return tag_rejects(raw).where(f"{REASON} IS NOT NULL")
+    """Rows that cleaning leaves out or takes without a field, each with its
+    reason and raw text."""
+    return rejects_of(with_outcome(raw))
+
+
+def field_errors(raw: DataFrame) -> DataFrame:
+    """One row per declared field whose text the parser could not take:
+    ``field`` and ``text`` beside the line and what it has of the reading's key.
+
+    Only lines with such a field are looked at again, as variants, which keep
+    a field's own type. Lines that are no JSON object have no fields.
+    """
+    lines = raw.where(f"{S.CORRUPT} IS NOT NULL").selectExpr(
+        "*", f"try_parse_json({S.CORRUPT}) AS line"
+    )
+    sent = {n: f"try_variant_get(line, '$.{n}', 'string')" for n in S.RAW_COLUMNS}
+    lost = ", ".join(
+        f"if({n} IS NULL, struct('{n}' AS field, {text} AS text), NULL)"
+        for n, text in sent.items()
+    )
+    return lines.selectExpr(
+        *[f"coalesce({n}, {sent[n]}) AS {n}" for n in S.READING_KEY],
+        f"{S.CORRUPT} AS raw_text",
+        f"inline(filter(array({lost}), e -> e.text IS NOT NULL))",
+    )
 
 
 def drop_incomplete(parsed: DataFrame) -> DataFrame:

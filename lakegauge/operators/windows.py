@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.functions.numeric import rounded
+from lakegauge.functions.numeric import rounded, share
 from lakegauge.functions.timeparts import hour_bucket
-from lakegauge.operators.kpis import health_scores, sensor_facts, statistics_of
+from lakegauge.operators.kpis import (
+    FACT_KEY,
+    STATISTICS,
+    health_scores,
+    sensor_facts,
+    statistics_of,
+)
 
 _MICROS = 1_000_000
 
@@ -35,6 +41,87 @@ def tumbling_statistics(
     )
 
 
+_WINDOW_KEY = ["window_start", "window_end", *FACT_KEY]
+
+
+def tumbling_states(
+    readings: DataFrame, instant: str = "timestamp", every: str = "1 hour"
+) -> DataFrame:
+    """Partial statistics per tumbling window and sensor, for merging.
+
+    ``mean`` and ``m2``, the sum of squared differences from it, describe the
+    ``value_count`` values that are not NULL; both are 0 without any.
+    """
+    return (
+        readings.withColumn("window", F.window(instant, every))
+        .groupBy("window", *FACT_KEY)
+        .agg(
+            F.expr("count(*) AS reading_count"),
+            F.expr("count_if(is_anomaly) AS anomaly_count"),
+            F.expr("count(value) AS value_count"),
+            F.expr("coalesce(avg(value), 0D) AS mean"),
+            F.expr("coalesce(regr_sxx(value, value), 0D) AS m2"),
+            F.expr("min(value) AS min_value"),
+            F.expr("max(value) AS max_value"),
+        )
+        .selectExpr(
+            "window.start AS window_start",
+            "window.end AS window_end",
+            *FACT_KEY,
+            *["reading_count", "anomaly_count", "value_count"],
+            *["mean", "m2", "min_value", "max_value"],
+        )
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per window and sensor, by the parallel variance rule.
+
+    A key's states are merged one after another, in a fixed order: as many as
+    there are partial tables, not readings.
+    """
+    merged = """aggregate(array_sort(parts),
+      struct(0L AS n, 0D AS mean, 0D AS m2),
+      (a, b) -> if(b.n = 0, a, struct(
+        a.n + b.n AS n,
+        a.mean + (b.mean - a.mean) * (b.n / (a.n + b.n)) AS mean,
+        a.m2 + b.m2 + (b.mean - a.mean) * (b.mean - a.mean)
+          * a.n * (b.n / (a.n + b.n)) AS m2)))"""
+    return (
+        states.groupBy(*_WINDOW_KEY)
+        .agg(
+            F.expr("sum(reading_count) AS reading_count"),
+            F.expr("sum(anomaly_count) AS anomaly_count"),
+            F.expr("collect_list(struct(value_count AS n, mean, m2)) AS parts"),
+            F.expr("min(min_value) AS min_value"),
+            F.expr("max(max_value) AS max_value"),
+        )
+        .selectExpr("*", f"{merged} AS merged")
+        .selectExpr(
+            *_WINDOW_KEY,
+            *["reading_count", "anomaly_count", "merged.n AS value_count"],
+            *["merged.mean", "merged.m2", "min_value", "max_value"],
+        )
+    )
+
+
+def tumbling_statistics_of(states: DataFrame) -> DataFrame:
+    """The statistics of :func:`tumbling_statistics` from merged states."""
+    measures = {
+        "avg_value": rounded("if(value_count > 0, mean, NULL)", 2),
+        "min_value": rounded("min_value", 2),
+        "max_value": rounded("max_value", 2),
+        "stddev_value": rounded(
+            "if(value_count > 1, sqrt(m2 / (value_count - 1)), NULL)", 2
+        ),
+        "anomaly_rate": rounded(share("anomaly_count", "reading_count"), 4),
+    }
+    return states.selectExpr(
+        *_WINDOW_KEY,
+        *[f"{measures[n]} AS {n}" if n in measures else n for n in STATISTICS],
+    )
+
+
 def health_history(readings: DataFrame, instant: str = "timestamp") -> DataFrame:
     """Health scores per hour, as the hourly snapshots would hold them."""
     hourly = readings.selectExpr("*", f"{hour_bucket(instant)} AS window_start")
@@ -50,6 +137,21 @@ def anomaly_series(history: DataFrame) -> DataFrame:
     ).orderBy("time", "metric")
 
 
+def with_every_hour(history: DataFrame) -> DataFrame:
+    """An hourly history with a row for each hour from a well's first to its
+    last: the other columns are NULL where it has none, so that gaps show."""
+    hours = (
+        history.groupBy("well_id")
+        .agg(F.expr("min(window_start) AS first"), F.expr("max(window_start) AS last"))
+        .selectExpr(
+            "well_id", "explode(sequence(first, last, INTERVAL 1 HOUR)) AS window_start"
+        )
+    )
+    return hours.join(history, ["well_id", "window_start"], "left").select(
+        *history.columns
+    )
+
+
 def rolling_average(
     readings: DataFrame,
     instant: str = "timestamp",

@@ -188,6 +188,97 @@ select {_CLEAN}, value_valid from (
 where place = 1"""
 
 
+_DROP_COUNTS = f"""{_with(_BRONZE)},
+counted as (
+  select (select count(*) from bronze) as rows_in,
+         (select count(*) from clean) as rows_clean,
+         (select count(*) from (select distinct well_id, ts, sensor_type from clean))
+           as rows_unique)
+select *, rows_in - rows_clean as rows_dropped,
+       rows_clean - rows_unique as rows_duplicate
+from counted"""
+
+# What the runs over the damaged lines leave behind.
+_RUNS = f"""
+delivered as (
+  select *, unnest(case when event_id % 10 = 3 then [1, 2] else [1] end) as delivery
+  from readings),
+sent as (
+  select event_id, event_id % 3 as h,
+         case when event_id % 97 = 0 then null when event_id % 89 = 0 then null
+              else well_id end as well_id,
+         case when event_id % 73 = 0 then 'Dock 9' when event_id % 53 = 0 then null
+              else location end as location,
+         case when event_id % 101 = 0 then null
+              when event_id % 103 = 0 then date_trunc('second', ts) else ts end as ts,
+         case when event_id % 71 = 0 then 'humidity' else sensor_type end
+           as sensor_type,
+         case when event_id % 67 = 0 then 'nan'::double when event_id % 107 = 0 then null
+              else value end as value,
+         case when event_id % 59 = 0
+                or (event_id % 83 = 0 and event_id % 79 <> 0) then null
+              else is_anomaly end as is_anomaly
+  from delivered),
+told as (
+  select *, case
+    when event_id % 61 = 0 then 'malformed'
+    when well_id is null then 'null_key'
+    when ts is null then 'bad_timestamp'
+    when value is null or isnan(value) then 'bad_value' end as reason,
+    event_id % 61 = 0 or event_id % 79 = 0 or event_id % 83 = 0 as has_text
+  from sent),
+left_out as (
+  select h, case when reason is null then 'bad_field' else reason end as item,
+         count(*) as row_count,
+         cast(count(*) filter (where has_text) as double) as figure
+  from told where reason is not null or has_text group by all),
+kept as (
+  select *, case sensor_type when 'pressure' then value between 0 and 2000
+                             when 'temperature' then value between -10 and 200
+                             when 'flow_rate' then value between -5 and 500
+                             when 'vibration' then value between 0 and 20
+                             when 'rpm' then value between 0 and 5000
+                             else true end as value_valid
+  from told where reason is null
+  qualify row_number() over (
+    partition by h, well_id, ts, sensor_type
+    order by value, location nulls last, is_anomaly nulls last) = 1),
+stats as ({_statistics("h,")} from kept group by h, well_id, sensor_type, location),
+rollup_ as ({_rollup("stats", "h,")}),
+scored as (select *, {_SCORE} as health_score from rollup_),
+health as (select *, {_STATUS} as status from scored),
+latest as (
+  select * from health qualify row_number() over (
+    partition by well_id order by h desc, total_readings desc, location desc nulls last
+  ) = 1),
+alerts as (
+  select h, well_id, sensor_type || '/' || {_SEVERITY} as item, count(*) as row_count
+  from kept where is_anomaly group by all),
+everything as (
+  select 'silver' as table_name, h, well_id, sensor_type as item, count(*) as row_count,
+         max(value) as figure
+  from kept group by h, well_id, sensor_type
+  union all
+  select 'rejects', h, null, item, row_count, figure from left_out
+  union all
+  select 'sensor_statistics', h, well_id, sensor_type || '/' || coalesce(location, '?'),
+         reading_count, avg_value from stats
+  union all
+  select 'well_health_scores', h, well_id, status || '/' || coalesce(location, '?'),
+         total_readings, health_score from health
+  union all
+  select 'well_health', h, well_id, status || '/' || coalesce(location, '?'),
+         total_readings, {_SHOWN_SCORE} from latest
+  union all
+  select unnest(['alert_summary', 'sensor_alerts']), h, well_id, item, row_count, null
+  from alerts)"""
+
+_RUN_RESULTS = f"""{_with(_RUNS)}
+select table_name, '2024-02-01-0' || h as ingest_hour, well_id, item,
+       cast(row_count as bigint) as row_count, figure
+from everything"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "bronze_scan": _RAW_TABLE,
@@ -272,15 +363,7 @@ select event_id, r.sensor_type, value,
 from readings r left join bands b on r.sensor_type = b.sensor_type""",
         "dedup_key": _DEDUP,
         "dedup_row": f"{_with(_BRONZE)} select distinct {_RAW} from bronze",
-        "drop_counts": f"""{_with(_BRONZE)},
-counted as (
-  select (select count(*) from bronze) as rows_in,
-         (select count(*) from clean) as rows_clean,
-         (select count(*) from (select distinct well_id, ts, sensor_type from clean))
-           as rows_unique)
-select *, rows_in - rows_clean as rows_dropped,
-       rows_clean - rows_unique as rows_duplicate
-from counted""",
+        "drop_counts": _DROP_COUNTS,
         "sensor_stats": f"{_with(_STATS)} select * from stats",
         "well_rollup": f"{_with(_STATS, _HEALTH)} select * from rollup_",
         "alert_summary": f"{_with(_ALERTS)} select * from alerts",
@@ -353,7 +436,29 @@ select well_id as "Well", {_SHOWN_SCORE} as "Health Score"
 from health""",
         "hour_availability": f"""{_with()}
 select {_INGEST}, count(*) as raw_count from readings group by 1, 2, 3, 4""",
+        "hourly_run": _RUN_RESULTS,
+        "rebuild_run": _RUN_RESULTS,
+        "field_errors": f"""{_with(_BRONZE)},
+wrong as (
+  select event_id, unnest(case
+    when event_id % 61 = 0 then []
+    when event_id % 79 = 0 then ['depth_m']
+    when event_id % 83 = 0 then ['is_anomaly'] else [] end) as field
+  from delivered)
+select field, case field when 'depth_m' then 'deep' else 'maybe' end as text,
+       true as in_line,
+       case when event_id % 97 = 0 then null when event_id % 89 = 0 then '  '
+            when event_id % 13 = 1 then ' ' || well_id || ' '
+            else well_id end as well_id,
+       case when event_id % 101 = 0 then 'not-a-time'
+            when event_id % 103 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            else {_ISO} end as sent,
+       case when event_id % 71 = 0 then 'humidity'
+            when event_id % 13 = 1 then ' ' || upper(sensor_type)
+            else sensor_type end as sensor_type
+from wrong join readings using (event_id)""",
         "stream_landing": _PLAIN_WITH_HOURS,
+        "stream_drop_counts": _DROP_COUNTS,
         "stream_clean_dedup": _DEDUP,
         "stream_hourly_stats": f"{_with(_HOURLY_STATS)} select * from hourly",
     }

@@ -9,17 +9,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lakegauge import schema as S
 from lakegauge import storage
 from lakegauge.functions.timeparts import ingest_path, previous_hour
 from lakegauge.operators import kpis, serving
-from lakegauge.operators.cleaning import REASON, clean_tagged, rejects, tag_rejects
+from lakegauge.operators.cleaning import REJECTED, clean_tagged
 from lakegauge.operators.dedup import dedup_readings
+from lakegauge.plans.outcomes import Outcomes
 from lakegauge.session import use_utc
-from lakegauge.sinks.hours import write_gold, write_rejects, write_silver
+from lakegauge.sinks.hours import (
+    SILVER_PARTITIONS,
+    write_gold,
+    write_rejects,
+    write_silver,
+)
+from lakegauge.sinks.runs import note_run, pending_hours, raw_count
 from lakegauge.sinks.serving import (
     read_sensor_alerts,
     read_well_health,
@@ -33,7 +39,12 @@ from lakegauge.workspace import new_folder
 
 @dataclass(frozen=True)
 class Roots:
-    """Where the layers live; any URI Spark can read and write."""
+    """Where the layers live; any URI Spark can read and write.
+
+    ``silver_partitions`` is the layout of the clean table: a directory per
+    well and sensor, or ``()`` for rows clustered by them inside larger files.
+    Every job on these roots writes that one, since a table cannot have both.
+    """
 
     bronze: str
     silver: str
@@ -41,12 +52,15 @@ class Roots:
     gold: str
     well_health: str
     sensor_alerts: str
+    runs: str
+    silver_partitions: tuple[str, ...] = tuple(SILVER_PARTITIONS)
 
     @classmethod
-    def below(cls, base: str) -> Roots:
+    def below(cls, base: str, **layout) -> Roots:
         """All layers as directories of one base URI."""
+        names = [n for n in cls.__dataclass_fields__ if n != "silver_partitions"]
         base = base.rstrip("/")
-        return cls(*[f"{base}/{name}" for name in cls.__dataclass_fields__])
+        return cls(*[f"{base}/{name}" for name in names], **layout)
 
 
 def raw_to_clean(
@@ -57,42 +71,30 @@ def raw_to_clean(
 ) -> dict[str, int] | None:
     """Clean and deduplicate one ingest hour; None when it has no rows.
 
-    One pass over the raw rows writes the clean table and observes the counts
-    on the way. Only if it met unusable rows does a second, shuffle-free pass
-    write them out. A recomputed task can raise the observed ``rows_in`` and
-    ``rows_rejected``, so they are for logs and for this decision; exact
-    counts come from :func:`lakegauge.operators.dedup.drop_counts`.
+    The raw lines are parsed once, into a folder by outcome; the clean table,
+    the rejects and the counts come from there.
     """
     use_utc(spark)
-    raw = read_bronze_hour(spark, roots.bronze, hour)
-    if raw.isEmpty():
-        return None
     stamp = processed_at or datetime.now(timezone.utc)
+    folder = new_folder(spark, "outcomes")
+    outcomes = Outcomes(read_bronze_hour(spark, roots.bronze, hour), folder)
+    counts = outcomes.counts()
+    if not sum(counts.values()):
+        storage.remove(spark, folder)
+        return None
 
-    seen, kept = Observation("seen"), Observation("kept")
-    tagged = tag_rejects(raw).observe(
-        seen,
-        F.count("*").alias("rows_in"),
-        F.count(REASON).alias("rows_rejected"),
+    usable = clean_tagged(outcomes.usable(), stamp).drop(*S.INGEST_COLUMNS)
+    write_silver(
+        dedup_readings(usable), roots.silver, hour, roots.silver_partitions
     )
-    readings = dedup_readings(clean_tagged(tagged, stamp).drop(*S.INGEST_COLUMNS))
-    write_silver(readings.observe(kept, *kpis.quality_columns()), roots.silver, hour)
-
-    if read_silver(spark, roots.silver, hour).isEmpty():
-        # Every row was unusable. Adaptive execution removes a branch it finds
-        # empty, observations included, so count what was written instead.
-        write_rejects(rejects(raw), roots.rejects, hour)
-        unusable = spark.read.parquet(ingest_path(roots.rejects, hour)).count()
-        counts = dict.fromkeys(kpis.QUALITY_MEASURES, 0)
-        return {"rows_in": unusable, "rows_rejected": unusable, **counts}
-
-    report = {**seen.get, **kept.get}
-    unusable = rejects(raw)
-    if not report["rows_rejected"]:
-        # Still written, so that rejects of an earlier run do not stay.
-        unusable = unusable.limit(0)
-    write_rejects(unusable, roots.rejects, hour)
-    return report
+    write_rejects(outcomes.rejects(), roots.rejects, hour)
+    storage.remove(spark, folder)
+    kept = read_silver(spark, roots.silver, hour).agg(*kpis.quality_columns()).first()
+    return {
+        "rows_in": sum(counts.values()),
+        "rows_rejected": counts[REJECTED],
+        **kept.asDict(),
+    }
 
 
 def clean_to_kpis(
@@ -174,11 +176,26 @@ def run_hour(
     """Check, clean, compute and publish one hour, by default the last one.
 
     Fails when no raw data landed for the hour, so that a scheduler retries.
+    The run's counts are noted last, in place of an earlier run's.
     """
     hour = hour or previous_hour()
     if not hour_available(spark, roots.bronze, hour):
         raise ValueError(f"no raw data for the hour {hour:%Y-%m-%d %H}:00")
-    report = raw_to_clean(spark, roots, hour, processed_at)
+    lines = raw_count(spark, roots.bronze, hour)
+    report = raw_to_clean(spark, roots, hour, processed_at) or {}
     if report and clean_to_kpis(spark, roots, hour, scope):
         publish(spark, roots, hour)
-    return report or {}
+    note_run(spark, roots.runs, hour, {"raw_count": lines, **report})
+    return report
+
+
+def run_pending(
+    spark: SparkSession, roots: Roots, processed_at: datetime | None = None
+) -> list[datetime]:
+    """Run every hour that has no run, or more raw lines than its run read;
+    oldest first. Returns these hours; a second call finds none."""
+    use_utc(spark)
+    hours = pending_hours(spark, roots.bronze, roots.runs)
+    for hour in hours:
+        run_hour(spark, roots, hour, processed_at=processed_at)
+    return hours

@@ -18,16 +18,12 @@ from lakegauge import schema as S
 from lakegauge import storage
 from lakegauge.functions.timeparts import ingest_hour
 from lakegauge.operators import kpis, serving
-from lakegauge.operators.cleaning import clean, rejects
+from lakegauge.operators.cleaning import clean_tagged
 from lakegauge.operators.dedup import dedup_readings
 from lakegauge.plans.hourly import Roots
+from lakegauge.plans.outcomes import Outcomes
 from lakegauge.session import use_utc
-from lakegauge.sinks.hours import (
-    SILVER_PARTITIONS,
-    write_gold,
-    write_rejects,
-    write_silver,
-)
+from lakegauge.sinks.hours import write_gold, write_rejects, write_silver
 from lakegauge.sinks.serving import upsert_well_health, write_alert_windows
 from lakegauge.sources.bronze import read_bronze
 from lakegauge.sources.tables import read_gold, read_silver
@@ -40,23 +36,29 @@ def rebuild(
     target: Roots,
     where: str = "true",
     processed_at: datetime | None = None,
-    partitions: Sequence[str] = tuple(SILVER_PARTITIONS),
+    partitions: Sequence[str] | None = None,
 ) -> Roots:
     """Compute all layers below ``target``, which must be new, from ``bronze``.
 
     ``where`` selects hours by the ingest columns, e.g. ``"year = '2025'"``.
     The old layers stay in use until callers switch to the returned roots.
-    Readings are deduplicated within their ingest hour, as hourly runs do.
+    Readings are deduplicated within their ingest hour, as hourly runs do. The
+    raw lines are parsed once. ``partitions`` other than the target's are the
+    layout of the returned roots.
     """
     use_utc(spark)
     stamp = processed_at or datetime.now(timezone.utc)
-    raw = read_bronze(spark, bronze).where(where)
+    if partitions is not None:
+        target = replace(target, silver_partitions=tuple(partitions))
+    staged = new_folder(spark, "outcomes")
+    outcomes = Outcomes(read_bronze(spark, bronze).where(where), staged)
 
     readings = dedup_readings(
-        clean(raw, stamp), key=[*S.INGEST_COLUMNS, *S.READING_KEY]
+        clean_tagged(outcomes.usable(), stamp), key=[*S.INGEST_COLUMNS, *S.READING_KEY]
     )
-    write_silver(readings, target.silver, None, partitions)
-    write_rejects(rejects(raw), target.rejects, None)
+    write_silver(readings, target.silver, None, target.silver_partitions)
+    write_rejects(outcomes.rejects(), target.rejects, None)
+    storage.remove(spark, staged)
 
     folder = new_folder(spark, "facts")
     silver = read_silver(spark, target.silver)

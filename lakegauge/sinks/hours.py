@@ -7,7 +7,7 @@ does not exist yet.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -16,6 +16,8 @@ from lakegauge import schema as S
 from lakegauge.functions.timeparts import ingest_path
 
 SILVER_PARTITIONS = ["well_id", "sensor_type"]
+# Lets a reader skip row groups without a well.
+_CLUSTERED = {"parquet.bloom.filter.enabled#well_id": "true"}
 
 
 def _hour_columns(hour: datetime | None) -> list[str]:
@@ -24,7 +26,11 @@ def _hour_columns(hour: datetime | None) -> list[str]:
 
 
 def _write(
-    df: DataFrame, root: str, hour: datetime | None, partitions: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    hour: datetime | None,
+    partitions: Sequence[str] = (),
+    options: Mapping[str, str] | None = None,
 ) -> None:
     columns = [*_hour_columns(hour), *partitions]
     if hour is None:
@@ -35,7 +41,7 @@ def _write(
         path = ingest_path(root, hour)
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.parquet(path)
+    writer.options(**(options or {})).parquet(path)
 
 
 def write_silver(
@@ -50,14 +56,15 @@ def write_silver(
     files, and adaptive execution splits a directory that outgrows the target
     size over several tasks and merges small ones. With very many wells pass
     ``partitions=()``: rows are then clustered inside larger files, and
-    Parquet statistics prune on well and sensor instead of directories.
+    Parquet statistics and a bloom filter per well take the place of
+    directories. A table has one of the two layouts.
     """
     hours = _hour_columns(hour)
     rows = readings.select(*S.SILVER_COLUMNS, *hours)
     rows = rows.hint("rebalance", *hours, *SILVER_PARTITIONS)
     if not partitions:
         rows = rows.sortWithinPartitions(*hours, *SILVER_PARTITIONS, "timestamp")
-    _write(rows, root, hour, partitions)
+    _write(rows, root, hour, partitions, {} if partitions else _CLUSTERED)
 
 
 def write_rejects(rejected: DataFrame, root: str, hour: datetime | None) -> None:

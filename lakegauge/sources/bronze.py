@@ -5,10 +5,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakegauge import schema as S
 from lakegauge import storage
-from lakegauge.functions.timeparts import in_ingest_scope, ingest_path
+from lakegauge.functions.timeparts import ingest_path
+from lakegauge.sinks.bronze import counts_root
+from lakegauge.streaming.segments import Segments
 
 
 def _json_reader(reader):
@@ -26,7 +30,8 @@ def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     Nothing is inferred and nothing is dropped. A filter on the partition
     columns prunes directories.
     """
-    return _json_reader(spark.read).json(root)
+    # A streamed root has a directory level per batch, which is no column here.
+    return _json_reader(spark.read).json(root).select(*S.BRONZE_SCHEMA.names)
 
 
 def read_bronze_hour(
@@ -34,17 +39,14 @@ def read_bronze_hour(
 ) -> DataFrame:
     """Raw rows of one ingest hour or day; no rows when nothing arrived.
 
-    A root landed by a stream is read through the stream's file log, which
-    lists committed files without walking directories and leaves out files of
-    failed attempts. Any other root is entered at the wanted directory, so
-    years of other hours are never listed.
+    The wanted directory is entered directly, so years of other hours are
+    never listed.
     """
-    if storage.exists(spark, f"{root.rstrip('/')}/_spark_metadata"):
-        return read_bronze(spark, root).where(in_ingest_scope(hour, scope))
     path = ingest_path(root, hour, scope)
     if not storage.exists(spark, path):
         return spark.createDataFrame([], S.BRONZE_SCHEMA)
-    return _json_reader(spark.read).option("basePath", root).json(path)
+    rows = _json_reader(spark.read).option("basePath", root).json(path)
+    return rows.select(*S.BRONZE_SCHEMA.names)
 
 
 def stream_bronze(
@@ -54,7 +56,7 @@ def stream_bronze(
     reader = _json_reader(spark.readStream)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(root)
+    return reader.json(root).select(*S.BRONZE_SCHEMA.names)
 
 
 def hour_available(spark: SparkSession, root: str, hour: datetime) -> bool:
@@ -62,8 +64,37 @@ def hour_available(spark: SparkSession, root: str, hour: datetime) -> bool:
     return storage.has_files(spark, ingest_path(root, hour))
 
 
+_COUNTS = T.StructType([*S.INGEST_FIELDS, T.StructField("raw_count", T.LongType())])
+
+
+def _added_up(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*S.INGEST_COLUMNS).agg(F.expr("sum(raw_count) AS raw_count"))
+
+
+def count_segments(spark: SparkSession, root: str) -> Segments:
+    """Lines per ingest hour of a landing stream's micro-batches."""
+    return Segments(spark, root, _COUNTS, _added_up)
+
+
 def hour_availability(spark: SparkSession, root: str) -> DataFrame:
-    """Raw lines per ingest hour. Lines are counted without parsing them."""
+    """Raw lines per ingest hour, from the counts that the writers of this
+    package leave beside the root; no line is read. A root of other writers
+    has none, and its lines are counted."""
+    below = counts_root(root)
+    if not storage.exists(spark, below):
+        return counted_lines(spark, root)
+    found = spark.createDataFrame([], _COUNTS)
+    for name in storage.children(spark, below):
+        counts = f"{below}/{name}"
+        if storage.exists(spark, f"{counts}/_SUCCESS"):  # a batch writer's
+            found = found.unionByName(spark.read.schema(_COUNTS).parquet(counts))
+        else:
+            found = found.unionByName(count_segments(spark, counts).read())
+    return _added_up(found)
+
+
+def counted_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The same by counting all lines, without parsing them."""
     lines = spark.read.schema(
         "value string, " + ", ".join(f"{name} string" for name in S.INGEST_COLUMNS)
     ).text(root)

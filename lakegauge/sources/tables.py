@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegauge import schema as S
 from lakegauge import storage
-from lakegauge.functions.timeparts import ingest_path
+from lakegauge.functions.timeparts import ingest_hour, ingest_path
 
 
 def read_silver(
@@ -34,6 +35,15 @@ def read_gold(
     return _read_hours(spark, f"{root.rstrip('/')}/{table}", schema, hour, "hour")
 
 
+def read_history(
+    spark: SparkSession, root: str, table: str, where: str = "true"
+) -> DataFrame:
+    """A KPI table of all hours with ``window_start``, the hour, instead of the
+    directory columns; ``where`` on those prunes directories."""
+    rows = read_gold(spark, root, table).where(where)
+    return rows.withColumn("window_start", F.expr(ingest_hour())).drop(*S.INGEST_COLUMNS)
+
+
 def _read_hours(
     spark: SparkSession,
     root: str,

@@ -1,17 +1,22 @@
-"""Raw landing of messages, and the sink shared by the streaming jobs."""
+"""Raw landing of messages, and a file sink for streams in order."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakegauge.functions.timeparts import ingest_columns
 from lakegauge.schema import INGEST_COLUMNS
 from lakegauge.session import use_utc
+from lakegauge.sinks.bronze import counts_root, lines_per_hour
+from lakegauge.sources.bronze import count_segments
 from lakegauge.sources.messages import MESSAGE_TEXT
 from lakegauge.sources.topics import BATCH_SECONDS
+from lakegauge.streaming.merging import start_batches
 
 
 def start_files(
@@ -60,13 +65,38 @@ def raw_lines(messages: DataFrame) -> DataFrame:
 
 
 def land_messages(
-    messages: DataFrame, root: str, checkpoint: str, **trigger
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Land a message stream as JSON lines below its arrival hour.
 
-    Nothing is shuffled: each task writes what it reads, one file per task
-    and hour.
+    A micro-batch has a directory of its own in each hour it has messages for,
+    and replaces these when it is retried: a message's arrival does not change,
+    so the retry writes the same ones. Nothing is shuffled and no log of files
+    is kept; a reader enters an hour's directory like that of any other table.
+    The lines per hour are kept beside the root, batch by batch, for
+    :func:`lakegauge.sources.bronze.hour_availability`.
+
+    By default the source says when a batch starts: a topic by its size and
+    time limits. Give ``every`` for sources without such limits. A root belongs
+    to streams; several may share it, each with its checkpoint.
     """
-    return start_files(
-        raw_lines(messages), root, checkpoint, "text", INGEST_COLUMNS, **trigger
-    )
+    spark = messages.sparkSession
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    counts = count_segments(spark, f"{counts_root(root)}/{stream}")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        name = F.lit(f"{stream}-{batch_id:012d}").alias("batch")
+        lines = raw_lines(batch).select("*", name)
+        (
+            lines.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*INGEST_COLUMNS, "batch")
+            .text(root)
+        )
+        counts.add(lines_per_hour(batch, "arrival"), batch_id)
+
+    return start_batches(messages, add, checkpoint, available_now, every)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from lakegauge import fixtures as X
 from lakegauge import schema as S
 from lakegauge.operators import cleaning, dedup
+from lakegauge.plans.outcomes import Outcomes
 from lakegauge.sources.bronze import read_bronze
-from tests.conftest import RUN, rows_of
+from tests.conftest import RUN, executed_plan, plan_of, rows_of
 
 GOOD = dict(
     well_id="WELL-001",
@@ -165,3 +166,64 @@ def test_fixture_sizes(spark, sf):
     raw = X.raw_messages(spark, f"/root/testdata/{sf}")
     counts = dedup.drop_counts(raw).first()
     assert (counts.rows_in, counts.rows_clean, counts.rows_unique) == expected
+
+
+# Outcomes
+
+
+ODD_LINES = [
+    '{"well_id": "a", "timestamp": "2026-03-26T14:00:00", "sensor_type": "rpm", '
+    '"value": 1, "depth_m": "deep", "is_anomaly": 7}',
+    '{"well_id": "b", "timestamp": "2026-03-26T14:00:00", "sensor_type": "rpm", "value": 2}',
+    '{"well_id": "c", "timestamp": "2026-03-26T14:00:00", "sensor_type": "rpm", '
+    '"value": "two"}',
+    '{"well_id": "d", "timestamp": "2026-03-26T14:00:00", "sensor_type": "rpm", '
+    '"value": 3, "location": {"x": 1}}',
+    "not json",
+    '{"well_id": "e", "value": ',
+]
+
+
+@pytest.fixture
+def odd_lines(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join(ODD_LINES) + "\n")
+    return read_bronze(spark, str(folder))
+
+
+def test_no_field_vanishes(spark, odd_lines):
+    """A damaged row is a reading and, with its text, among the rejects."""
+    kept = cleaning.clean(odd_lines, RUN)
+    assert rows_of(kept.select("well_id")) == [("a",), ("b",), ("d",)]
+    rejected = cleaning.rejects(odd_lines).select(cleaning.REASON, S.CORRUPT)
+    reasons = {text: reason for reason, text in map(tuple, rejected.collect())}
+    assert reasons == {
+        ODD_LINES[0]: "bad_field",
+        ODD_LINES[2]: "bad_value",
+        ODD_LINES[4]: "malformed",
+        ODD_LINES[5]: "malformed",
+    }
+
+
+def test_field_errors(odd_lines):
+    found = cleaning.field_errors(odd_lines).select("well_id", "field", "text")
+    assert rows_of(found) == [
+        ("a", "depth_m", "deep"),
+        ("a", "is_anomaly", "7"),
+        ("c", "value", "two"),
+    ]
+
+
+def test_lines_are_parsed_once(spark, odd_lines, tmp_path):
+    """What the outcomes give comes from their folder alone."""
+    outcomes = Outcomes(odd_lines, str(tmp_path / "staged"))
+    assert outcomes.counts() == {"clean": 2, "damaged": 1, "rejected": 3}
+    for frame in (outcomes.usable(), outcomes.rejects()):
+        plan = plan_of(frame).lower()
+        assert "filescan json" not in plan and "relation [" in plan
+        plan = executed_plan(frame)
+        assert "/staged]" in plan and "/lines]" not in plan
+    assert rows_of(outcomes.rejects()) == rows_of(cleaning.rejects(odd_lines))
+    again = cleaning.clean_tagged(outcomes.usable(), RUN).select(*S.RAW_COLUMNS)
+    assert rows_of(again) == rows_of(cleaning.clean(odd_lines, RUN).select(*S.RAW_COLUMNS))

@@ -12,6 +12,7 @@ from lakegauge import storage
 from lakegauge.functions.timeparts import ingest_path
 from lakegauge.plans import hourly
 from lakegauge.plans.rebuild import rebuild
+from lakegauge.sinks.runs import read_runs
 from lakegauge.sinks.serving import read_sensor_alerts, read_well_health
 from lakegauge.sources.tables import read_gold, read_silver
 from tests.conftest import HOUR, RUN, rows_of
@@ -233,3 +234,36 @@ def test_command_line(spark, roots, tmp_path, capsys):
     land(roots, HOUR, *FIRST)
     cli.main(["--base", str(tmp_path), "--hour", "2026-03-26T14"])
     assert json.loads(capsys.readouterr().out.splitlines()[0])["rows_in"] == 6
+
+
+def test_pending_hours(spark, roots):
+    later = HOUR + timedelta(hours=1)
+    land(roots, later, reading("W1", 59), "")
+    land(roots, HOUR, *FIRST)
+    assert hourly.run_pending(spark, roots, RUN) == [HOUR, later]
+    once = state(spark, roots)
+    assert hourly.run_pending(spark, roots, RUN) == []
+    land(roots, HOUR, *FIRST, reading("W9", 9))
+    assert hourly.run_pending(spark, roots, RUN) == [HOUR]
+    left = state(spark, roots)
+    assert len(left["silver"]) == len(once["silver"]) + 1
+    runs = read_runs(spark, roots.runs).select("hour", "rows_in", "total_records")
+    assert rows_of(runs) == [("14", 7, 4), ("15", 1, 1)]
+
+
+@pytest.mark.parametrize("layout", [(), ("well_id", "sensor_type")])
+def test_layout_stays_with_the_roots(spark, tmp_path, layout):
+    """Rebuilt hours and later hourly runs write one layout."""
+    later = HOUR + timedelta(hours=1)
+    roots = hourly.Roots.below(str(tmp_path / "old"))
+    land(roots, HOUR, *FIRST)
+    target = hourly.Roots.below(str(tmp_path / "new"))
+    rebuilt = rebuild(spark, roots.bronze, target, processed_at=RUN, partitions=layout)
+    assert rebuilt.silver_partitions == layout
+    land(roots, later, reading("W1", 59))
+    hourly.run_hour(spark, rebuilt, later, processed_at=RUN)
+    day = read_silver(spark, rebuilt.silver, later, "day")
+    assert rows_of(day.select("well_id", "hour")) == [
+        ("W1", "14"), ("W1", "14"), ("W1", "15"), ("W2", "14"),
+    ]
+    assert day.where("well_id = 'W2'").count() == 1

@@ -38,5 +38,24 @@ def test_plan_rules(spark, name):
     plan = executed_plan(catalog.queries()[name](spark, SF))
     for operator in ("Python", "Pandas", "Cartesian", "NestedLoop", "Join"):
         assert operator not in plan
-    if name not in ("drop_counts", "quality_summary", "serving_counts"):
+    single = ("drop_counts", "quality_summary", "serving_counts", "stream_drop_counts")
+    if name not in single:
         assert "SinglePartition" not in plan
+
+
+def test_stored_tables_answer_dashboards(spark):
+    """No reading is touched, and filters reach the files."""
+    found = catalog.queries()
+    for name in ("dash_anomaly_series", "dash_well_status", "dash_active_alerts",
+                 "serving_counts", "lowest_health", "dash_health_all"):
+        plan = executed_plan(found[name](spark, SF))
+        assert "events" not in plan and "/stored-" in plan
+    plan = executed_plan(found["dash_well_status"](spark, SF))
+    assert "EqualTo(well_id,WELL-003)" in plan
+    assert "ReadSchema: struct<>" in executed_plan(found["serving_counts"](spark, SF))
+
+
+def test_availability_reads_counts(spark):
+    plan = executed_plan(catalog.queries()["hour_availability"](spark, SF))
+    assert "bronze" in plan and "_counts" in plan
+    assert "json" not in plan.lower() and "text" not in plan.lower()

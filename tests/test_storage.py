@@ -399,3 +399,32 @@ def test_timestamps_written_in_utc(spark, tmp_path, silver_of):
     hours.write_silver(silver_of({}), root, HOUR)
     row = read_silver(spark, root, HOUR).first()
     assert row.timestamp == datetime(2026, 3, 26, 14)
+
+
+def test_clustered_layout_skips_row_groups(spark, tmp_path, silver_of):
+    """A well between others is told from the file by its bloom filter."""
+    root = str(tmp_path / "silver")
+    wells = [f"W{n:04d}" for n in range(0, 2000, 2)]
+    readings = silver_of(*[dict(well_id=w) for w in wells]).coalesce(1)
+    hours.write_silver(readings, root, HOUR, partitions=())
+    for well, found in (("W0500", 1), ("W0501", 0)):
+        rows = read_silver(spark, root, HOUR).where(F.col("well_id") == well)
+        assert "EqualTo(well_id," in executed_plan(rows)
+        frame = rows.select("well_id")
+        assert frame.count() == found
+    assert _read_rows(spark, root, "W0501") == 0 < _read_rows(spark, root, "W0500")
+
+
+def _read_rows(spark, root, well):
+    """Rows that a scan hands on before its filter."""
+    rows = read_silver(spark, root, HOUR).where(F.col("well_id") == well).select("value")
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan()
+    nodes, found = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Scan"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        nodes += [children.apply(k) for k in range(children.size())]
+    return found

@@ -292,8 +292,8 @@ def test_license_spans(spark):
         ["bsd"], ["bsd"], ["bsd"], [], ["cc-by-nc"], ["cc-by"], ["cc-by-nc-sa", "mit"],
         [], [],
     ]
-    assert tuple(found[0].spans[0]) == (50, 69, "bsd", 1.0)
-    assert tuple(found[1].spans[0])[:3] == (50, 70, "bsd")
+    assert tuple(found[0].spans[0]) == (50, 70, "bsd", 1.0)
+    assert tuple(found[1].spans[0])[:3] == (50, 71, "bsd")
     assert 0.9 < found[2].score < 1 and found[3].score == 0 and found[6].score == 1
 
 

@@ -9,7 +9,8 @@ of it decode in parallel; a CRC-32 of its ids guards it. Segments are rows of a
 Parquet table, whose commit makes a lost task's work repeatable.
 
 Null or empty text gives the end id alone. Rows with equal ``doc_id`` are
-documents of their own, in any order; null ``doc_id`` comes first.
+documents of their own, in any order; null ``doc_id`` comes first. Ids have 16
+bits; a vocabulary with more tokens is refused.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +46,23 @@ _WORDS = re.compile(
 )
 # Texts with others, or with a special token, are encoded by the library whole.
 _PLAIN = re.compile(r"[\x00-\xff]*")
-# Entries that a worker's table may hold before it starts anew.
-MAX_ENTRIES = 700_000
-WORDS_AT_ONCE = 20_000
+# Python's blanks and the library's differ in these alone, below 256.
+_ODD_BLANKS = re.compile(r"[\x1c-\x1f]")
+# Entries that a worker's table may hold before the rarest half goes.
+MAX_ENTRIES = 500_000
+NEW_AT_ONCE = 20_000
 
 
 # Tokens
 
 
 class WordTokenizer:
-    """Ids as little-endian 16-bit bytes. Words are encoded by the library
-    once and looked up after that; the table starts anew when it is full."""
+    """Ids as little-endian 16-bit bytes, stretch by stretch.
+
+    No word reaches over a blank, so what stands between two blanks has the
+    same ids everywhere. The library encodes it once; after that it is a number
+    in a table, and the ids of a group of texts are gathered by these numbers.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         self._library = Tokenizer.from_str(vocabulary)
@@ -61,44 +70,124 @@ class WordTokenizer:
         self._library.no_padding()
         added = self._library.get_added_tokens_decoder().values()
         self._special = [token.content for token in added]
-        self._known: dict[str, bytes] = {}
         size = self._library.get_vocab_size()
+        if size > 1 << 16:
+            raise ValueError(f"ids of {size} tokens do not fit 16 bits")
         tokens = [self._library.id_to_token(k) or "" for k in range(size)]
         self._ends_word = np.array([token.endswith("</w>") for token in tokens])
-
-    def _by_library(self, text: str) -> bytes:
+        self._start_anew([], np.empty(0, np.uint16), np.empty(0, np.int64))
+
+    def _start_anew(self, known: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The stretches with their ids in a row, and how often each was met."""
+        self._numbers: dict[str, int] = defaultdict(count(len(known)).__next__)
+        self._numbers.update(zip(known, range(len(known))))
+        self._ids, self._sizes = ids, sizes
+        self._starts = np.cumsum(sizes) - sizes
+        self._met = np.zeros(len(known), np.int64)
+
+    def _make_room(self) -> None:
+        """Keep the half that was met most often."""
+        if len(self._numbers) <= MAX_ENTRIES:
+            return
+        kept = np.argsort(-self._met, kind="stable")[: MAX_ENTRIES // 2]
+        kept.sort()
+        names = list(self._numbers)
+        ids = self._gather(kept)
+        self._start_anew([names[k] for k in kept.tolist()], ids, self._sizes[kept])
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of stretches, in a row."""
+        sizes = self._sizes[numbers]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self._starts[numbers] - (ends - sizes), sizes)
+        return self._ids[shift + np.arange(len(shift))]
+
+    def _by_library(self, text: str) -> np.ndarray:
         ids = self._library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u2").tobytes()
+        return np.array(ids, np.uint16)
 
-    def _words_by_library(self, words: list[str]) -> list[bytes]:
-        """Each word's ids, from one text of all words with spaces between.
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has.
 
-        Words keep apart there, and every word's last token is a word's end.
+        They are one text for the library, with blanks between. Every word's
+        last token is a word's end.
         """
-        data = self._by_library(" ".join(words))
-        ends = 2 * np.flatnonzero(self._ends_word[np.frombuffer(data, "<u2")]) + 2
-        if len(ends) != len(words):
-            return [self._by_library(word) for word in words]
-        starts = [0, *ends[:-1].tolist()]
-        return [data[a:b] for a, b in zip(starts, ends.tolist())]
+        ids = self._by_library(" ".join(words))
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            return ids, np.diff(ends, prepend=0)
+        each = [self._by_library(word) for word in words]
+        return np.concatenate(each), np.array([len(one) for one in each])
+
+    def _learn(self, first: int) -> None:
+        """Encode the stretches that got their numbers last: new words by the
+        library, stretches of several words from these."""
+        new = self._named_from(first)
+        parts = [_WORDS.findall(stretch) for stretch in new]
+        several = np.array([len(words) > 1 for words in parts])
+        number = self._numbers.__getitem__
+        # Words that were no stretch so far get the next numbers.
+        members = [number(w) for words in parts if len(words) > 1 for w in words]
+        more = self._named_from(first + len(new))
+        words = [*(s for s, split in zip(new, several.tolist()) if not split), *more]
+        ids, sizes = [self._ids], [np.empty(0, np.int64)]
+        for at in range(0, len(words), NEW_AT_ONCE):
+            encoded = self._encoded(words[at : at + NEW_AT_ONCE])
+            ids.append(encoded[0])
+            sizes.append(encoded[1])
+        own = np.append(np.flatnonzero(~several), np.arange(len(more)) + len(new))
+        self._add(first + own, np.concatenate(ids), np.concatenate(sizes))
+        if members:
+            flat, counts = np.array(members), np.array([len(w) for w in parts])[several]
+            sizes_of = np.add.reduceat(self._sizes[flat], np.cumsum(counts) - counts)
+            joined = np.concatenate([self._ids, self._gather(flat)])
+            self._add(first + np.flatnonzero(several), joined, sizes_of)
+
+    def _named_from(self, first: int) -> list[str]:
+        last = islice(reversed(self._numbers), len(self._numbers) - first)
+        return list(last)[::-1]
+
+    def _add(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Note stretches whose ids stand at the end of ``ids``."""
+        room = len(self._numbers) - len(self._met)
+        if room:
+            self._starts = np.append(self._starts, np.zeros(room, np.int64))
+            self._sizes = np.append(self._sizes, np.zeros(room, np.int64))
+            self._met = np.append(self._met, np.zeros(room, np.int64))
+        self._starts[numbers] = len(ids) - sizes.sum() + np.cumsum(sizes) - sizes
+        self._sizes[numbers] = sizes
+        self._ids = ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self._known) > MAX_ENTRIES:
-            self._known.clear()
-        plain: list[list[str] | None] = []
+        self._make_room()
+        first = len(self._numbers)
+        number = self._numbers.__getitem__
+        plain: list[np.ndarray | None] = []
         for text in texts:
             text = text or ""
-            odd = not _PLAIN.fullmatch(text) or any(s in text for s in self._special)
-            plain.append(None if odd else _WORDS.findall(text.lower()))
-        new = {word for words in plain if words for word in words}
-        new = list(new.difference(self._known))
-        for at in range(0, len(new), WORDS_AT_ONCE):
-            part = new[at : at + WORDS_AT_ONCE]
-            self._known.update(zip(part, self._words_by_library(part)))
-        known = self._known.__getitem__
+            if (
+                not _PLAIN.fullmatch(text)
+                or _ODD_BLANKS.search(text)
+                or any(special in text for special in self._special)
+            ):
+                plain.append(None)
+                continue
+            stretches = text.lower().split()
+            plain.append(np.fromiter(map(number, stretches), np.int64, len(stretches)))
+        if len(self._numbers) > first:
+            self._learn(first)
+        numbers = [np.empty(0, np.int64), *[n for n in plain if n is not None]]
+        together = np.concatenate(numbers)
+        self._met += np.bincount(together, minlength=len(self._met))
+        long = np.concatenate(([0], np.cumsum(self._sizes[together])))
+        ends = 2 * long[np.cumsum([len(n) for n in numbers])]
+        data = self._gather(together).astype("<u2").tobytes()
+        parts = (data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
         return [
-            self._by_library(text or "") if words is None else b"".join(map(known, words))
-            for text, words in zip(texts, plain)
+            self._by_library(text or "").astype("<u2").tobytes()
+            if own is None
+            else next(parts)
+            for text, own in zip(texts, plain)
         ]
 
 

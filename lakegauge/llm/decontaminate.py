@@ -23,12 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.llm.common import id_and_text
+from lakegauge.llm.components import stored
 
-# Fixed values of the SQL twin alone, which finds fewer alignments.
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8))
-SPAN = 9
-# Places that count, by the least length of a window (the item's, if
-# it is shorter than WINDOW). Tests enumerate that no accepted window is missed.
+# Places that count, by the least length of a window (the item's, if it is shorter
+# than WINDOW). Tests enumerate that no accepted window is missed.
 WINDOW = 13
 SEED_MASKS = {
     1: ((0,),),
@@ -62,10 +60,10 @@ def _seeds(masks: Iterable[tuple[int, ...]], place: str) -> str:
     return f"array({', '.join(each)})"
 
 
-def benchmark_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id, item_place), one row per mask and place of the items."""
-    places = items.selectExpr(
-        "item_id", "words", "explode(sequence(0, size(words) - 1)) AS item_place"
+def benchmark_seeds(texts: DataFrame) -> DataFrame:
+    """(seed, text_id, item_place), one row per mask and place of the items."""
+    places = texts.selectExpr(
+        "text_id", "words", "explode(sequence(0, size(words) - 1)) AS item_place"
     )
     starts = sorted(SEED_MASKS, reverse=True)
     by_length = " ".join(
@@ -73,16 +71,19 @@ def benchmark_seeds(items: DataFrame) -> DataFrame:
         for least in starts
     )
     seeds = places.selectExpr(
-        "item_id", "item_place", f"explode(CASE {by_length} END) AS seed"
+        "text_id", "item_place", f"explode(CASE {by_length} END) AS seed"
     )
     return seeds.where("seed IS NOT NULL").distinct()
 
 
 def benchmark_words(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text_id, words): equal items have one ``text_id``."""
     items = benchmark.where("text IS NOT NULL").selectExpr(
         "CAST(item_id AS BIGINT) AS item_id", f"{_hashed_words('text')} AS words"
     )
-    return items.where("size(words) > 0")
+    return items.where("size(words) > 0").selectExpr(
+        "item_id", "xxhash64(words) AS text_id", "words"
+    )
 
 
 def _needed_masks(items: DataFrame) -> list[tuple[int, ...]]:
@@ -91,75 +92,82 @@ def _needed_masks(items: DataFrame) -> list[tuple[int, ...]]:
     return sorted({mask for row in lengths.collect() for mask in masks_of(row["long"])})
 
 
-def _document_seeds(
-    words: DataFrame, masks: list[tuple[int, ...]], *columns: str
-) -> DataFrame:
-    """A row per place and mask of documents (.., words)."""
-    places = words.selectExpr(*columns, "words", "posexplode(words) AS (place, word)")
+def _document_seeds(words: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
+    """A row per place and mask of documents (doc_id, row_id, words)."""
+    places = words.selectExpr("doc_id", "row_id", "words", "posexplode(words) AS (place, word)")
     return places.selectExpr(
-        *columns, "words", "place", f"explode({_seeds(masks, 'place')}) AS seed"
+        "doc_id", "row_id", "place", f"explode({_seeds(masks, 'place')}) AS seed"
     ).where("seed IS NOT NULL")
 
 
-# Equal words of the best window along the alignment at ``shift``: running
-# counts of equal words, then differences over a window.
-_EQUAL = """transform(item_words, (w, k) ->
-    if(get(words, shift + k) = w, 1, 0))"""
-_LONG = f"least({WINDOW}, size(item_words))"
+_ALIGNMENT = ["doc_id", "row_id", "text_id", "shift"]
 
 
-def _verified(hits: DataFrame) -> DataFrame:
-    """Hits (doc_id, words, item_id, item_words, shift) whose alignment has a
-    window with enough equal words; ``equal_pct`` is the best one's share."""
-    compared = hits.selectExpr(
-        "doc_id",
-        "item_id",
-        f"{_EQUAL} AS equal",
-        f"{_LONG} AS long",
-    ).selectExpr(
-        "doc_id",
-        "item_id",
-        """100.0D * array_max(transform(sequence(0, size(equal) - long),
-             k -> aggregate(slice(equal, k + 1, long), 0, (n, e) -> n + e)))
-           / long AS equal_pct""",
+def _verified(aligned: DataFrame) -> DataFrame:
+    """(doc_id, text_id, equal_pct) of alignments (.., words, item_words) with a
+    window of enough equal words; ``equal_pct`` is the best one's share.
+
+    Equal words are counted over a window that slides along the item, so the
+    work grows with its length. The best window may be taken to end with an
+    equal word, since one that hangs over the item's start has no more words in
+    it than the first whole one.
+    """
+    equal = "transform(item_words, (w, k) -> get(words, shift + k) = w)"
+    places = aligned.selectExpr(
+        *_ALIGNMENT,
+        f"least({WINDOW}, size(item_words)) AS long",
+        f"posexplode({equal}) AS (k, same)",
+    ).where("same")
+    # Rows with equal id and text give the same places: each counts once.
+    places = places.repartition(*_ALIGNMENT).groupBy(*_ALIGNMENT, "long", "k").count()
+    window = f"""count(*) OVER (PARTITION BY {", ".join(_ALIGNMENT)} ORDER BY k
+        RANGE BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW)"""
+    best = places.selectExpr("doc_id", "text_id", f"100.0D * {window} / long AS equal_pct")
+    return (
+        best.where(f"equal_pct >= {MIN_EQUAL}")
+        .groupBy("doc_id", "text_id")
+        .agg(F.max("equal_pct").alias("equal_pct"))
     )
-    return compared.where(f"equal_pct >= {MIN_EQUAL}")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, equal_pct): items found in documents, each once.
 
     A benchmark of a checked size is broadcast, and the documents are read
-    once without a shuffle. A larger one is joined by shuffling seeds alone;
-    the documents with hits are then joined to be verified.
+    without a shuffle; seeds of a larger one are shuffled. The alignments that
+    the seeds name, each once, are written; the documents that have any are read
+    again to be verified along them. Spark broadcasts these tables while their
+    files are small.
     """
-    words = docs.where("text IS NOT NULL").selectExpr(
-        "doc_id", f"{_hashed_words('text')} AS words"
+    docs = docs.where("text IS NOT NULL").selectExpr(
+        "doc_id", "xxhash64(text) AS row_id", "text"
     )
     items = benchmark_words(benchmark)
-    seeds, masks = benchmark_seeds(items), _needed_masks(items)
+    texts = items.select("text_id", "words").distinct()
+    seeds, masks = benchmark_seeds(texts), _needed_masks(texts)
     if not masks:
-        return words.selectExpr(
+        return docs.selectExpr(
             "doc_id", "CAST(NULL AS BIGINT) AS item_id", "CAST(NULL AS DOUBLE) AS equal_pct"
         ).where("false")
-    items = items.withColumnRenamed("words", "item_words")
-    # One item under each id; a repeated id's items differ by their words.
     if seeds.count() <= MAX_BROADCAST_SEEDS:
-        hits = (
-            _document_seeds(words, masks, "doc_id")
-            .join(F.broadcast(seeds), "seed")
-            .join(F.broadcast(items), "item_id")
-            .selectExpr("*", "place - item_place AS shift")
-        )
-    else:
-        found = _document_seeds(words, masks, "doc_id").drop("words").join(seeds, "seed")
-        pairs = found.selectExpr("doc_id", "item_id", "place - item_place AS shift")
-        pairs = pairs.distinct().withColumnRenamed("doc_id", "__llm_id")
-        same = F.col("doc_id").eqNullSafe(F.col("__llm_id"))
-        hits = words.join(pairs, same).join(items, "item_id")
-    return _verified(hits).groupBy("doc_id", "item_id").agg(
-        F.max("equal_pct").alias("equal_pct")
+        seeds = F.broadcast(seeds)
+    spoken = docs.selectExpr("doc_id", "row_id", f"{_hashed_words('text')} AS words")
+    hits = _document_seeds(spoken, masks).join(seeds, "seed")
+    hits = hits.selectExpr("doc_id", "row_id", "text_id", "place - item_place AS shift")
+    found = stored(hits.distinct(), "alignments")
+
+    touched = found.selectExpr("doc_id AS __llm_id", "row_id AS __llm_row").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (
+        F.col("row_id") == F.col("__llm_row")
+    )
+    words = docs.join(touched, same, "left_semi").selectExpr(
+        "doc_id AS __llm_id", "row_id AS __llm_row", f"{_hashed_words('text')} AS words"
     )
+    texts = texts.withColumnRenamed("words", "item_words")
+    aligned = found.join(words, same).join(texts, "text_id")
+    return _verified(aligned).join(items.select("item_id", "text_id"), "text_id").groupBy(
+        "doc_id", "item_id"
+    ).agg(F.max("equal_pct").alias("equal_pct"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -180,8 +188,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents without a benchmark passage."""
+    """The rows of documents without a benchmark passage. The ids found are
+    written: while their file is small no document is shuffled."""
     found = matches(id_and_text(docs), benchmark)
-    found = found.selectExpr("doc_id AS __llm_id").distinct()
+    found = stored(found.selectExpr("doc_id AS __llm_id").distinct(), "contaminated")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id"))
     return docs.join(found, same, "left_anti")

@@ -128,46 +128,36 @@ FROM d LEFT JOIN sizes USING (rid) LEFT JOIN lowest USING (rid)
 """
 
 
-def _seed(words: str, place: str) -> str:
-    masks = []
-    for number, mask in enumerate(D.MASKS):
-        at = ", ".join(f"{words}[{place} + {offset}]" for offset in mask)
-        masks.append(f"concat_ws(' ', '{number}', {at})")
-    return f"unnest([{', '.join(masks)}])"
-
-
 def benchmark_matches(table: str) -> str:
-    """CTEs on (rid, doc_id, text): documents with a benchmark passage."""
+    """CTEs on (rid, doc_id, text): documents with a benchmark passage. Without
+    seeds: every pair of equal words gives its alignment."""
     words = _WORDS.format("lower(text)")
     return f"""
-dw AS (SELECT doc_id, {words} AS ws FROM {table}),
-bw AS (SELECT item_id, {words} AS ws FROM benchmark
-       WHERE len({words}) >= {D.SPAN}),
-ds AS (SELECT doc_id, ws, i, {_seed('ws', 'i')} AS seed
-       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {D.SPAN - 2})) AS i
-             FROM dw)),
-bs AS (SELECT item_id, ws AS iw, j, {_seed('ws', 'j')} AS seed
-       FROM (SELECT item_id, ws, unnest(range(1, len(ws) - {D.SPAN - 2})) AS j
-             FROM bw)),
-hits AS (SELECT DISTINCT doc_id, item_id, ws, iw, i - j AS shift
-         FROM ds JOIN bs USING (seed)),
-compared AS (
-  SELECT doc_id, item_id, least({D.WINDOW}, len(iw)) AS long,
-    list_transform(range(1, len(iw) + 1),
-      lambda k: CASE WHEN k + shift > 0 AND ws[k + shift] = iw[k] THEN 1 ELSE 0 END)
-      AS equal
-  FROM hits),
+dw AS (SELECT rid, doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS place
+       FROM (SELECT rid, doc_id, {words} AS ws FROM {table})),
+bw AS (SELECT item_id, least({D.WINDOW}, len(ws)) AS long, unnest(ws) AS w,
+              unnest(range(len(ws))) AS k
+       FROM (SELECT item_id, {words} AS ws FROM benchmark)),
+aligned AS (
+  SELECT rid, doc_id, item_id, long, place - k AS shift, k
+  FROM dw JOIN bw USING (w)),
+enough AS (
+  SELECT rid, item_id, shift FROM aligned GROUP BY rid, item_id, long, shift
+  HAVING 100 * count(*) >= {D.MIN_EQUAL} * long),
 best AS (
-  SELECT doc_id, item_id, max(100.0::DOUBLE * list_max(list_transform(
-      range(1, len(equal) - long + 2), lambda k: list_sum(equal[k:k + long - 1])))
-      / long) AS equal_pct
-  FROM compared GROUP BY doc_id, item_id),
+  SELECT doc_id, item_id, max(100.0::DOUBLE * n / long) AS equal_pct
+  FROM (SELECT doc_id, item_id, long, count(*) OVER (
+          PARTITION BY rid, item_id, shift ORDER BY k
+          RANGE BETWEEN {D.WINDOW - 1} PRECEDING AND CURRENT ROW) AS n
+        FROM aligned JOIN enough USING (rid, item_id, shift))
+  GROUP BY doc_id, item_id),
 leaks AS (SELECT doc_id, count(*) AS n_items, max(equal_pct) AS best_pct
           FROM best WHERE equal_pct >= {D.MIN_EQUAL} GROUP BY doc_id)"""
 
 
 OP9 = f"""
-WITH {benchmark_matches('documents')}
+WITH numbered AS (SELECT row_number() OVER () AS rid, * FROM documents),
+{benchmark_matches('numbered')}
 SELECT d.doc_id, l.doc_id IS NOT NULL AS contaminated,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, best_pct
 FROM documents d LEFT JOIN leaks l ON l.doc_id IS NOT DISTINCT FROM d.doc_id

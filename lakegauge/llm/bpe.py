@@ -19,12 +19,11 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from lakegauge.llm.common import NEAR, near_class, per_batch
+from lakegauge.llm.common import NEAR, held, near_class, per_batch
 
 # White space, in the range where words are cut here.
 _S = r"\t-\r \x85\xa0"
@@ -183,10 +182,9 @@ class Cache:
             self.decoded[new[data]] = decoded
 
 
-@lru_cache(maxsize=2)
 def cache_of(vocabulary: str) -> Cache:
     """One per worker process, which Spark uses for many tasks."""
-    return Cache(TrieEncoder(vocabulary))
+    return held(("bpe", vocabulary), lambda: Cache(TrieEncoder(vocabulary)))
 
 
 def round_trip(
@@ -245,4 +243,5 @@ def encode_and_decode(
         "n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
         "ids array<bigint>, decoded string",
         start,
+        holds=True,
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -67,33 +70,84 @@ def groups(
         yield group
 
 
+# The one large table that a worker keeps for its next tasks.
+_held: dict[Hashable, Any] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """A table that is dear to make. A worker serves many tasks in turn, and
+    keeps one such table at most: another operator's goes."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+        release()
+    return _held[key]
+
+
+def drop_held() -> None:
+    _held.clear()
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the machine, which the
+    idle worker shares with others and with the executor."""
+    pa.default_memory_pool().release_unused()
+    _trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A task's function that begins without other operators' tables and gives
+    its memory back when it ends."""
+
+    @functools.wraps(work)
+    def lean_work(batches: Batches) -> Batches:
+        drop_held()
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return lean_work
+
+
 def per_batch(
     docs: DataFrame,
     schema: str,
     start: Callable[[], Callable[[list[str | None]], list[tuple]]],
+    holds: bool = False,
 ) -> DataFrame:
     """doc_id and what a function makes of each text, as further columns.
 
     ``start`` is called once per task and returns the function, which gets a
-    group of texts and returns a tuple for each.
+    group of texts and returns a tuple for each. ``holds`` says that it gets a
+    table by :func:`held`.
     """
     names = [field.split()[0] for field in schema.split(", ")]
     target = arrow_schema(f"doc_id bigint, {schema}")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Batches) -> Batches:
+        if not holds:
+            drop_held()
         make = start()
-        for batch in batches:
-            done = 0
-            for group in groups(texts_of(batch.column("text"))):
-                columns = list(zip(*make(group)))
-                ids = batch.column("doc_id").slice(done, len(group))
-                done += len(group)
-                arrays = [ids.cast(pa.int64())]
-                arrays += [
-                    pa.array(values, target.field(name).type)
-                    for name, values in zip(names, columns, strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        try:
+            for batch in batches:
+                done = 0
+                for group in groups(texts_of(batch.column("text"))):
+                    columns = list(zip(*make(group)))
+                    ids = batch.column("doc_id").slice(done, len(group))
+                    done += len(group)
+                    arrays = [ids.cast(pa.int64())]
+                    arrays += [
+                        pa.array(values, target.field(name).type)
+                        for name, values in zip(names, columns, strict=True)
+                    ]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=target)
+        finally:
+            release()
 
     return id_and_text(docs).mapInArrow(work, f"doc_id bigint, {schema}")
 
@@ -121,6 +175,7 @@ _ARROW = {
     "binary": pa.binary(),
     "array<bigint>": pa.list_(pa.int64()),
     "array<int>": pa.list_(pa.int32()),
+    "array<double>": pa.list_(pa.float64()),
     "array<string>": pa.list_(pa.string()),
     "array<binary>": pa.list_(pa.binary()),
 }

@@ -34,9 +34,10 @@ nothing and has a null component. Documents without words are alone.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import arrow_schema, groups, id_and_text, texts_of
+from lakegauge.llm.common import (
+    arrow_schema,
+    groups,
+    id_and_text,
+    lean,
+    release,
+    texts_of,
+)
 from lakegauge.llm.components import components, stored
 from lakegauge.llm.shingles import exact_set, hashed_sets, mixed
 
@@ -65,6 +73,21 @@ _MADE = (
 )
 
 
+# Bytes of a group after which its memory is given back.
+_LARGE_GROUP = 8_000_000
+
+
+def _lean_group(work: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    @functools.wraps(work)
+    def lean_work(table: pa.Table) -> pa.Table:
+        made = work(table)
+        if table.nbytes > _LARGE_GROUP:
+            release()
+        return made
+
+    return lean_work
+
+
 # 1. Sets and chunks
 
 
@@ -146,6 +169,7 @@ def _unpack(payload: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def _chunks(docs: DataFrame, n_ranges: int) -> DataFrame:
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk()
@@ -167,6 +191,7 @@ def _chunks(docs: DataFrame, n_ranges: int) -> DataFrame:
 # 2. Counts
 
 
+@_lean_group
 def _count_range(table: pa.Table) -> pa.Table:
     """Members as they are; of a range, each chunk's shared codes."""
     rows = table.to_pylist()
@@ -196,6 +221,7 @@ def _prefix_size(n: np.ndarray) -> np.ndarray:
     return n - -(-PERCENT * n // 100) + (n > 0)
 
 
+@_lean_group
 def _prefixes(table: pa.Table) -> pa.Table:
     """A chunk's members (kind 0), documents with prefixes (1), cells (2)."""
     rows = table.to_pylist()
@@ -278,6 +304,7 @@ def _side(reps: DataFrame, side: str) -> DataFrame:
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets are similar, decided on the words."""
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: OrderedDict[int, tuple[str, set[bytes]]] = OrderedDict()
 
@@ -335,6 +362,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
+@_lean_group
 def _compare_blocks(table: pa.Table) -> pa.Table:
     """Similar pairs of a pair of blocks that are in different components."""
     sides = []
@@ -392,11 +420,24 @@ def _crossing(apart: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     return compared.distinct()
 
 
+# Bytes of text per range, whose shingles one task counts, and the most ranges
+# that leave a chunk some hundreds of shingles in each.
+RANGE_BYTES = 4_000_000
+MAX_RANGES = 6_000
+
+
+def _ranges(docs: DataFrame) -> int:
+    """Ranges of shingles: they grow with the text, so that a task's do not."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MAX_RANGES, size // RANGE_BYTES))
+
+
 def ngram_join(docs: DataFrame) -> DataFrame:
     """Per document ``n_shingles``, ``component_id`` and ``n_links``, the
     links that were found to settle its representative's component."""
     spark, docs = docs.sparkSession, id_and_text(docs)
-    n_ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = _ranges(docs)
     named = docs.where("doc_id IS NOT NULL")
     counted = (
         _chunks(named, n_ranges).groupBy("range").applyInArrow(_count_range, _PACKED)
@@ -449,6 +490,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 def _nameless(docs: DataFrame) -> DataFrame:
     """Rows without a doc_id: the size of their sets, no component."""
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [len(exact_set(text)) for text in texts_of(batch.column("text"))]
@@ -464,8 +506,13 @@ def _nameless(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of each group's first document; rows without doc_id stay."""
-    found = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = found.withColumnRenamed("doc_id", "__llm_id")
-    kept = docs.join(first, F.col("doc_id").cast("long") == F.col("__llm_id"), "left_semi")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """The rows of each group's first document; rows without doc_id stay, and all
+    rows of an id of which one is a first.
+
+    The ids that go are written: while their file is small Spark broadcasts
+    them and no document is shuffled.
+    """
+    judged = ngram_join(docs).where("doc_id IS NOT NULL").groupBy("doc_id")
+    others = judged.agg(F.expr("bool_or(doc_id = component_id) AS first"))
+    gone = stored(others.where("NOT first").selectExpr("doc_id AS __llm_id"), "others")
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__llm_id"), "left_anti")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import texts_of
+from lakegauge.llm.common import lean, texts_of
 from lakegauge.llm.components import stored
 
 MAX_WORDS = 4
@@ -260,6 +260,7 @@ def _count_stripes(
     spark = docs.sparkSession
     shared = None if often is None else spark.sparkContext.broadcast(often)
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words in _chunks(batches):
             sequence, vocabulary = words.sequence(), list(words.numbers)

@@ -20,7 +20,6 @@ import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import count, islice
 
 import numpy as np
@@ -30,7 +29,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakegauge.llm.common import arrow_schema, groups, id_and_text, near_class, texts_of
+from lakegauge.llm.common import (
+    arrow_schema,
+    groups,
+    held,
+    id_and_text,
+    lean,
+    near_class,
+    release,
+    texts_of,
+)
 
 END_ID = 2
 SCALE_BITS = 16
@@ -191,9 +199,8 @@ class WordTokenizer:
         ]
 
 
-@lru_cache(maxsize=2)
 def _tokenizer(vocabulary: str) -> WordTokenizer:
-    return WordTokenizer(vocabulary)
+    return held(("rans", vocabulary), lambda: WordTokenizer(vocabulary))
 
 
 # The numeral system
@@ -345,22 +352,23 @@ def write_token_files(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         part, start = TaskContext.get().partitionId(), 0
-        held: list[tuple[int | None, bytes]] = []
+        waiting: list[tuple[int | None, bytes]] = []
         size = 0
         for batch in batches:
             ids, done = batch.column("doc_id").to_pylist(), 0
             for group in groups(texts_of(batch.column("text"))):
                 for data in tokenizer.encode(group):
-                    held.append((ids[done], data + end))
+                    waiting.append((ids[done], data + end))
                     done += 1
                     size += len(data) // 2 + 1
                 if size >= SEGMENT_IDS:
-                    row, n = _segment(part, start, held)
+                    row, n = _segment(part, start, waiting)
                     yield row
                     start += n
-                    held, size = [], 0
-        if held:
-            yield _segment(part, start, held)[0]
+                    waiting, size = [], 0
+        if waiting:
+            yield _segment(part, start, waiting)[0]
+        release()
 
     ordered = id_and_text(docs).repartitionByRange("doc_id")
     rows = ordered.sortWithinPartitions("doc_id").mapInArrow(work, _SEGMENT)
@@ -373,6 +381,7 @@ def read_token_files(spark: SparkSession, root: str) -> DataFrame:
     Only one number per part, the sum of its ids, passes the driver.
     """
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

@@ -13,7 +13,7 @@ _BASE = 0x5851F42D4C957F2D
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 # Bytes whose prefix sums are held at once; a longer word is taken as a whole.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 

@@ -2,15 +2,20 @@
 
 Every block element and every run of text is a node with two states, content
 or not. A node's own potential comes from logistic weights on its features
-(tag, class words, text length, links, punctuation, place); the potential
-between parent and child from how often their states go together. Messages go
-up from the leaves and down from the root, which gives the exact marginal of
-each node; runs of text with a marginal of at least one half make the result.
+(tag, text length, links, punctuation, place, being inside an article's mark or
+below a tag or class word of something else); the potential between parent and
+child from how often their states go together. Messages go up from the leaves
+and down from the root, which gives the exact marginal of each node; runs of
+text with a marginal of at least one half make the result. All weights are
+learned, those of marks and class words too: a long text below a word such as
+``share`` inside an article may still be content.
 
 Pages that mark their article (``article``, ``main``) are the labelled pages:
-inside is content, outside is not. The marks are hidden from the features in
-every other training page, so that pages without them are read as well. The
-sample is bounded by ``sample_pages``, chosen by a hash of the page.
+inside is content, outside or below a tag or word of something else is not. A
+third of them is learned from as it is, a third without the article's marks and
+a third without any of these hints, so that pages without them are read as
+well; half of them with other parts and comments inside the article, too. The sample is bounded: ``sample_pages`` different pages, those with the
+smallest hashes, and ``NODES_PER_PAGE`` nodes of each.
 
 Null and empty pages give an empty text. Rows with equal ``page_id`` are pages
 of their own.
@@ -20,8 +25,9 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 import numpy as np
@@ -29,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import arrow_schema, groups, texts_of
+from lakegauge.llm.common import arrow_schema, groups, lean, per_row, texts_of
 
 # Elements that never have text of the page.
 HIDDEN = {
-    "head", "script", "style", "noscript", "template", "svg", "iframe", "object",
-    "title", "canvas", "math", "select", "textarea",
+    "head", "script", "style", "noscript", "template", "iframe", "object", "title",
+    "canvas", "select", "textarea", "annotation", "annotation-xml",
 }
+# Elements whose parts stand in one line.
+FORMULAS = {"math", "svg"}
 # Elements without an end.
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -59,15 +67,18 @@ ENDS_LIKE = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 SCOPES = {"ul", "ol", "dl", "table", "td", "th", "div", "section", "article", "body"}
-# Elements and class words of what is not the article.
+# Elements and class words that hint at something else than the article.
 OTHER_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu"}
 OTHER_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb",
-    "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright",
-    "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation",
-    "newsletter", "notice", "pagination", "popup", "promo", "promoted", "related",
-    "replies", "reply", "share", "sharing", "sidebar", "signup", "social", "sponsor",
-    "sponsored", "subscribe", "toolbar", "widget",
+    "ad", "ads", "advert", "adverts", "advertisement", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "menu",
+    "modal", "nav", "navbar", "navigation", "newsletter", "pagination", "popup",
+    "promo", "promoted", "replies", "reply", "sidebar", "sponsored",
+}
+# Words that articles use of their own parts as well.
+LOOSE_WORDS = {
+    "banner", "copyright", "header", "notice", "related", "share", "sharing", "signup",
+    "social", "sponsor", "subscribe", "toolbar", "widget",
 }
 ARTICLE_TAGS = {"article", "main"}
 _TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "li", "td", "body")
@@ -90,8 +101,10 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes = [Node(-1, "#root", frozenset(), 0)]
-        self.open: list[tuple[str, int]] = [("#root", 0)]  # tags with their block
+        # Tags with their block, and whether they began it.
+        self.open: list[tuple[str, int, bool]] = [("#root", 0, True)]
         self.hidden = 0
+        self.formulas = 0
         self.links = 0
         self.run: list[str] = []
         self.linked = 0
@@ -106,10 +119,11 @@ class _Tree(HTMLParser):
         self.run, self.linked = [], 0
 
     def _close(self, at: int) -> None:
-        for tag, _ in self.open[at:]:
+        for tag, _, _ in self.open[at:]:
             self.hidden -= tag in HIDDEN
+            self.formulas -= tag in FORMULAS
             self.links -= tag == "a"
-        if any(tag not in INLINE for tag, _ in self.open[at:]):
+        if any(began for _, _, began in self.open[at:]):
             self._flush()
         del self.open[at:]
 
@@ -134,13 +148,15 @@ class _Tree(HTMLParser):
         if tag in VOID:
             return
         block = self.open[-1][1]
-        if tag not in INLINE:
+        self.formulas += tag in FORMULAS
+        begins = tag not in INLINE and not self.formulas
+        if begins:
             self._flush()
             named = " ".join(v or "" for k, v in attrs if k in ("class", "id", "role"))
             words = frozenset(_SPLIT.split(named.lower())) - {""}
             self.nodes.append(Node(block, tag, words, self.nodes[block].depth + 1))
             block = len(self.nodes) - 1
-        self.open.append((tag, block))
+        self.open.append((tag, block, begins))
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -166,7 +182,8 @@ def parse(html: str | None) -> list[Node]:
 
 
 def _is_other(node: Node) -> bool:
-    return node.tag in OTHER_TAGS or bool(node.words & OTHER_WORDS)
+    words = node.words
+    return node.tag in OTHER_TAGS or bool(words & OTHER_WORDS or words & LOOSE_WORDS)
 
 
 def _below(nodes: list[Node], start) -> list[bool]:
@@ -188,7 +205,12 @@ def other_flags(nodes: list[Node]) -> list[bool]:
     return flags
 
 
-def features(nodes: list[Node], hide_marks: bool = False) -> np.ndarray:
+SHOWN, NO_MARKS, NO_HINTS = 0, 1, 2  # what the features of a page may see
+_FIGURES = 14
+
+
+def features(nodes: list[Node], hide: int = SHOWN) -> np.ndarray:
+    """A row per node; ``hide`` says which of the page's hints count."""
     n = len(nodes)
     chars, linked, runs, marks, words = (np.zeros(n) for _ in range(5))
     for k, node in enumerate(nodes):
@@ -200,7 +222,7 @@ def features(nodes: list[Node], hide_marks: bool = False) -> np.ndarray:
         for column in (chars, linked, runs, marks, words):
             column[nodes[k].parent] += column[k]
     whole = max(1.0, chars[0])
-    rows = np.zeros((n, 10 + len(_TAGS)))
+    rows = np.zeros((n, _FIGURES + len(_TAGS)))
     for k, node in enumerate(nodes):
         size = max(1.0, chars[k])
         rows[k, :10] = (
@@ -215,8 +237,14 @@ def features(nodes: list[Node], hide_marks: bool = False) -> np.ndarray:
             min(node.depth, 10) / 10,
             float(node.tag == "#text"),
         )
-        if not (hide_marks and node.tag in ARTICLE_TAGS) and node.tag in _TAGS:
-            rows[k, 10 + _TAGS.index(node.tag)] = 1.0
+        if not (hide and node.tag in ARTICLE_TAGS) and node.tag in _TAGS:
+            rows[k, _FIGURES + _TAGS.index(node.tag)] = 1.0
+    if hide < NO_MARKS:
+        rows[:, 10] = _below(nodes, lambda node: node.tag in ARTICLE_TAGS)
+    if hide < NO_HINTS:
+        rows[:, 11] = _below(nodes, lambda node: node.tag in OTHER_TAGS)
+        rows[:, 12] = _below(nodes, lambda node: bool(node.words & OTHER_WORDS))
+        rows[:, 13] = _below(nodes, lambda node: bool(node.words & LOOSE_WORDS))
     return rows
 
 
@@ -226,17 +254,6 @@ class Model:
     together: np.ndarray  # log potential by parent's and child's state
 
 
-# Log odds that a mark gives: for content inside an article, against it inside
-# what is marked as something else.
-MARK_ODDS = 12.0
-
-
-def mark_odds(nodes: list[Node]) -> list[float]:
-    inside = _below(nodes, lambda n: n.tag in ARTICLE_TAGS)
-    others = other_flags(nodes)
-    return [MARK_ODDS * (-1 if o else int(i)) for i, o in zip(inside, others)]
-
-
 def labels(nodes: list[Node]) -> list[bool] | None:
     """Content flags of a page that marks its article, else None."""
     inside = _below(nodes, lambda n: n.tag in ARTICLE_TAGS)
@@ -245,32 +262,87 @@ def labels(nodes: list[Node]) -> list[bool] | None:
     return [i and not o for i, o in zip(inside, other_flags(nodes))]
 
 
-def fit_pages(pages: list[str]) -> Model:
-    rows, truth, pairs = [], [], np.ones((2, 2))
-    for number, html in enumerate(sorted(pages)):
-        nodes = parse(html)
-        own = labels(nodes)
-        if own is None:
-            continue
-        rows.append(features(nodes, hide_marks=number % 2 == 1))
-        truth += own
-        for node, label in zip(nodes[1:], own[1:]):
-            pairs[int(own[node.parent]), int(label)] += 1
-    together = np.log(pairs / pairs.sum(axis=1, keepdims=True))
-    together = np.maximum(together, -4.0)
-    weights = np.zeros(10 + len(_TAGS))
-    if not rows:
-        weights[0] = 1.0  # nothing to learn from: all but what is marked as other
+# Nodes of a page that are learned from.
+NODES_PER_PAGE = 300
+
+
+# Characters of a run of text that is no label or button.
+_LONG_TEXT = 80
+
+
+def _with_more_inside(
+    nodes: list[Node], own: list[bool], seed: int
+) -> tuple[list[Node], list[bool]]:
+    """A labelled page with more at the end of its article, as other pages have
+    it: its parts that are something else; readers' comments, for which its own
+    paragraphs stand; and long paragraphs below a loose word, which stay
+    content."""
+    article = next(k for k, node in enumerate(nodes) if node.tag in ARTICLE_TAGS)
+    made, flags, place = list(nodes), list(own), {}
+
+    def add(node: Node, parent: int, content: bool) -> int:
+        made.append(replace(node, parent=parent, depth=made[parent].depth + 1))
+        flags.append(content)
+        return len(made) - 1
+
+    for k, other in enumerate(other_flags(nodes)):
+        if other and nodes[k].tag != "header":
+            place[k] = add(nodes[k], place.get(nodes[k].parent, article), False)
+    texts = [n for n, content in zip(nodes, own) if content and len(n.text) > _LONG_TEXT]
+    for words, content in ((OTHER_WORDS, False), (LOOSE_WORDS, True)):
+        word = sorted(words)[seed % len(words)]
+        part = Node(0, "div", frozenset([word]), 0)
+        below = add(part, article, content)
+        for text in texts[-3:]:
+            add(text, add(Node(0, "p", frozenset(), 0), below, content), content)
+    return made, flags
+
+
+def training_rows(html: str | None) -> tuple[list[float], list[float]]:
+    """Of a labelled page: features and label of nodes, in a row, and how often
+    the states of parents and children go together. Else nothing."""
+    nodes = parse(html)
+    own = labels(nodes)
+    if own is None:
+        return [], []
+    seed = zlib.crc32((html or "").encode())
+    if seed // 3 % 2:
+        nodes, own = _with_more_inside(nodes, own, seed)
+    pairs = np.zeros((2, 2))
+    for node, label in zip(nodes[1:], own[1:]):
+        pairs[int(own[node.parent]), int(label)] += 1
+    rows = np.column_stack([features(nodes, hide=seed % 3), own])
+    if len(rows) > NODES_PER_PAGE:
+        chosen = np.random.default_rng(seed).permutation(len(rows))[:NODES_PER_PAGE]
+        rows = rows[np.sort(chosen)]
+    return rows.ravel().tolist(), pairs.ravel().tolist()
+
+
+def learn(parts: list[tuple[list[float], list[float]]]) -> Model:
+    """The model from the training rows of pages."""
+    width = _FIGURES + len(_TAGS)
+    parts = [part for part in parts if part[0]]
+    if not parts:  # nothing to learn from: all but what hints at something else
+        weights = np.zeros(width)
+        weights[0], weights[10:14] = 1.0, (2.0, -4.0, -4.0, -2.0)
         return Model(weights, np.zeros((2, 2)))
-    x, y = np.concatenate(rows), np.array(truth, float)
-    ridge = 1e-3 * len(y) * np.eye(x.shape[1])
-    for _ in range(20):  # Newton steps of logistic regression
+    pairs = 1 + sum(np.array(pairs).reshape(2, 2) for _, pairs in parts)
+    together = np.maximum(np.log(pairs / pairs.sum(axis=1, keepdims=True)), -4.0)
+    rows = np.concatenate([np.array(flat).reshape(-1, width + 1) for flat, _ in parts])
+    x, y = rows[:, :-1], rows[:, -1]
+    weights = np.zeros(width)
+    ridge = 1e-4 * len(y) * np.eye(width)
+    for _ in range(25):  # Newton steps of logistic regression
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge
         weights += np.linalg.solve(hessian, x.T @ (y - p) - ridge @ weights)
     return Model(weights, together)
 
 
+def fit_pages(pages: list[str]) -> Model:
+    return learn([training_rows(html) for html in sorted(pages)])
+
+
 def _add(a: float, b: float) -> float:
     high, low = (a, b) if a > b else (b, a)
     return high + math.log1p(math.exp(low - high))
@@ -280,7 +352,7 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     """Probability of content of each node, by messages up and down."""
     odds = features(nodes) @ model.weights
     # Belief of (not, content) from the node itself and what is below it.
-    up = [[0.0, float(v) + mark] for v, mark in zip(odds, mark_odds(nodes))]
+    up = [[0.0, float(v)] for v in odds]
     (nn, nc), (cn, cc) = model.together.tolist()
     message = [(0.0, 0.0)] * len(nodes)  # from a node to its parent
     for k in range(len(nodes) - 1, 0, -1):
@@ -305,12 +377,22 @@ def extract(html: str | None, model: Model) -> str:
 
 
 def fit(pages: DataFrame, sample_pages: int = 600) -> Model:
-    """Model from the pages that mark an article among at most about
-    ``sample_pages`` pages."""
-    share = sample_pages / max(1, pages.count())
-    sample = pages.where(f"pmod(xxhash64(html), 1000000) < {share * 1e6}")
-    marked = sample.where("lower(html) RLIKE '<(article|main)'").select("html")
-    return fit_pages([row["html"] for row in marked.toLocalIterator()])
+    """Model from the pages that mark an article among ``sample_pages`` different
+    ones. Pages stay in Spark: the driver gets their training rows, about 25
+    numbers a node."""
+    marked = pages.where("lower(html) RLIKE '<(article|main)'").selectExpr(
+        "html", "xxhash64(html) AS hash"
+    )
+    least = marked.select("hash").distinct().orderBy("hash").limit(sample_pages)
+    chosen = marked.join(F.broadcast(least), "hash")
+    found = per_row(
+        chosen.groupBy("hash").agg(F.first("html").alias("text")).selectExpr(
+            "hash AS doc_id", "text"
+        ),
+        "flat array<double>, pairs array<double>",
+        lambda: training_rows,
+    ).orderBy("doc_id")
+    return learn([(row["flat"], row["pairs"]) for row in found.toLocalIterator()])
 
 
 def main_text(pages: DataFrame, model: Model) -> DataFrame:
@@ -318,6 +400,7 @@ def main_text(pages: DataFrame, model: Model) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast(model)
     schema = "page_id bigint, url string, text string, n_chars bigint"
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0

@@ -1,13 +1,17 @@
 """Removal of lines that many documents share, with keep bitmaps.
 
-Lines become hashes of their keys. First occurrences are marked by a sort within
-each document; rows of hash, document and place are dealt out by range, so a
-frequent line spreads over several parts, and each part counts first occurrences
-by hash; the counts of the parts are merged. (Spark drops the sort within parts
-from the plan: neither the counts nor the join with them read it.)
-What comes back per document is a
-bitmap of its lines, as 64-bit words up to the last word with a dropped line;
-documents that lose nothing have none, and no text moves until it is cut down.
+Lines become hashes of their keys. The hashes are dealt out by range with their
+documents, so a frequent line spreads over several parts, and sorted within the
+parts by hash, document and place. Streaming over a sorted part marks the first
+occurrence of a line in each document; the parts are written in that order. The
+first occurrences of a run of equal hashes are counted per part and the counts
+of a run that a border cuts are merged. Occurrences meet the counts by hash and
+part, so that no task gets all of a frequent line.
+
+What comes back per document is a bitmap of its lines, as 64-bit words up to the
+last word with a dropped line; documents that lose nothing have none. The
+bitmaps are written: while their file is small Spark broadcasts them, and no text
+moves. Beyond, texts and bitmaps are shuffled by document.
 
 Null or empty text is one empty line. Lines with an empty key always stay. Rows
 with equal ``doc_id`` and text are documents of their own where documents are
@@ -20,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.llm.common import id_and_text
+from lakegauge.llm.components import stored
 
 # White space stripped from a line for its key.
 _STRIP = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINES = r"split(coalesce(text, ''), '\n', -1)"
-_ORDER = ["h1", "h2", "doc_id", "body", "place"]
+_RUN = ["h1", "h2", "doc_id", "body"]
 
 
 def line_key(line: str) -> str:
@@ -36,37 +41,43 @@ def line_key(line: str) -> str:
 def occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     """One row per line whose key has ``min_chars`` characters or more.
 
-    h1 and h2 are 128 bits of the key's hash, ``body`` the hash of the text,
-    ``first`` whether the document has the key no earlier.
+    h1 and h2 are 128 bits of the key's hash, ``body`` the hash of the text.
     """
     hashed = docs.selectExpr(
         "doc_id",
         "xxhash64(text) AS body",
         f"transform({LINES}, line -> {line_key('line')}) AS keys",
-    ).selectExpr(
-        "doc_id",
-        "body",
-        f"""array_sort(filter(transform(keys, (key, place) -> struct(
-              xxhash64(key) AS h1, xxhash64(7, key) AS h2, place,
-              char_length(key) >= {min_chars} AS counts)),
-            x -> x.counts)) AS sorted""",
     )
     return hashed.selectExpr(
         "doc_id",
         "body",
-        """inline(transform(sorted, (x, i) -> struct(x.h1, x.h2, x.place,
-             i = 0 OR sorted[i - 1].h1 <> x.h1 OR sorted[i - 1].h2 <> x.h2
-               AS first)))""",
+        f"""inline(filter(transform(keys, (key, place) -> struct(
+              xxhash64(key) AS h1, xxhash64(7, key) AS h2, place,
+              char_length(key) >= {min_chars} AS counts)), x -> x.counts))""",
+    ).drop("counts")
+
+
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """Occurrences in sorted range parts, with the number of their ``part`` and
+    whether they are the ``first`` of their line in their document; of rows that
+    are equal altogether each has its first."""
+    dealt = lines.repartitionByRange(*_RUN)
+    rank = f"rank() OVER (PARTITION BY {', '.join(_RUN)} ORDER BY place)"
+    return dealt.selectExpr("*", f"{rank} = 1 AS first").withColumn(
+        "part", F.spark_partition_id()
     )
 
 
 def shared_lines(docs: DataFrame, min_docs: int, min_chars: int = 1) -> DataFrame:
     """Occurrences of the keys found in ``min_docs`` documents or more."""
-    dealt = occurrences(docs, min_chars).repartitionByRange(*_ORDER)
-    runs = dealt.sortWithinPartitions(*_ORDER)
-    documents = runs.where("first").groupBy("h1", "h2").agg(F.count("*").alias("n"))
-    shared = documents.where(f"n >= {min_docs}").select("h1", "h2")
-    return runs.join(shared, ["h1", "h2"])
+    lines = stored(occurrences(docs, min_chars), "lines")
+    runs = stored(first_occurrences(lines), "runs")
+    cut = runs.groupBy("h1", "h2", "part").agg(F.count_if("first").alias("n"))
+    cut = stored(cut, "counts")
+    whole = cut.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+    shared = cut.drop("n").join(whole.where(f"n >= {min_docs}"), ["h1", "h2"])
+    shared = stored(shared.select("h1", "h2", "part"), "shared")
+    return runs.join(shared, ["h1", "h2", "part"]).drop("part", "first")
 
 
 def drop_bitmaps(dropped: DataFrame) -> DataFrame:
@@ -90,7 +101,10 @@ def drop_bitmaps(dropped: DataFrame) -> DataFrame:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its bitmap ``bits``, null if nothing goes,
     and what is left of its text as ``kept``."""
-    found = bitmaps.selectExpr("doc_id AS __llm_id", "body AS __llm_body", "bits AS __llm_bits")
+    found = stored(
+        bitmaps.selectExpr("doc_id AS __llm_id", "body AS __llm_body", "bits AS __llm_bits"),
+        "bitmaps",
+    )
     joined = docs.join(
         found,
         F.col("doc_id").eqNullSafe(F.col("__llm_id"))

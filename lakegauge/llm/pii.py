@@ -131,13 +131,15 @@ def strict_spans(text: str) -> dict[str, list[Span]]:
 
 
 def candidates(text: str) -> set[tuple[str, int, int]]:
-    return {
+    loose = {
         (kind, *m.span())
         for kind in _kinds_in(text, loose=True)
-        for pattern in (*LOOSE[kind], *([STRICT[kind]] if kind in STRICT else []))
+        for pattern in LOOSE[kind]
         for m in pattern.finditer(text)
         if plausible(kind, m.group())
     }
+    strict = strict_spans(text)
+    return loose | {(kind, *span) for kind in KINDS for span in strict[kind]}
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:

@@ -8,8 +8,10 @@ set with the largest penalised likelihood is taken (half the logarithm of the
 number of words per language, times a weight). The language with the largest
 proportion is predicted, with that proportion as score.
 
-Null text, or text without a letter, is ``und`` with score 0. Ties go to the
-language first in alphabetical order.
+Null text, or text without a letter (Unicode categories L), is ``und`` with score
+0. Ties go to the language first in alphabetical order. More than MAX_LANGUAGES
+labelled languages are refused: the model has a row per trigram bucket and a
+column per language.
 
 Trigram counts come from a sample of labelled texts, bounded per language by
 the parameter ``sample_docs``; which texts are taken depends on a hash of the
@@ -19,6 +21,7 @@ text alone. Prediction covers every text as a whole.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegauge.llm.common import arrow_schema, groups, texts_of
+from lakegauge.llm.common import arrow_schema, groups, lean, texts_of
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -40,6 +43,7 @@ PENALTY = 4.0
 ROUNDING = 1e-5
 # Characters whose words are in one pass of the inference.
 GROUP_CHARS = 400_000
+# Letters, and some signs that Python takes for letters.
 _LETTER = re.compile(r"[^\W\d_]")
 # Bytes of letters: ASCII letters and all of the multi-byte characters.
 _IS_LETTER = np.zeros(256, bool)
@@ -83,6 +87,7 @@ def fit(labelled: DataFrame, sample_docs: int = 2000) -> Model:
     )
     schema = arrow_schema("lang string, bucket int, n bigint")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -115,6 +120,11 @@ def fit(labelled: DataFrame, sample_docs: int = 2000) -> Model:
     return Model(languages, scores.astype(np.float32))
 
 
+def has_letter(text: str | None) -> bool:
+    found = _LETTER.finditer(text or "")
+    return any(unicodedata.category(m.group()).startswith("L") for m in found)
+
+
 def _proportions(
     odds: np.ndarray, allowed: np.ndarray, starts: np.ndarray, lengths: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -138,14 +148,14 @@ def _proportions(
 def infer(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text of a group."""
     results: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-    chosen = [
-        k for k, text in enumerate(texts) if text and _LETTER.search(text)
-    ]
+    chosen = [k for k, text in enumerate(texts) if has_letter(text)]
     if not chosen or not model.languages:
         return results
     joined = [texts[k].lower().encode() for k in chosen]
-    buckets, places = trigrams(b"\n".join(joined))
-    data = np.frombuffer(b"\n".join(joined), np.uint8)
+    # Blanks between them, as at the ends: neighbours do not change a text's words.
+    together = b" ".join(joined)
+    buckets, places = trigrams(together)
+    data = np.frombuffer(together, np.uint8)
     # Words by the spaces before them; texts by the place they start at.
     word_of_place = np.cumsum(_IS_SPACE[data])[places]
     first = np.flatnonzero(np.diff(word_of_place, prepend=-1))
@@ -195,6 +205,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     from the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[str, float]] = []

@@ -14,19 +14,24 @@ turn of the role ``system`` or ``developer`` whose text is an object with a list
 ``function``) declares them for its conversation. A call meets the last
 declaration up to its turn, or else the first. ``unknown_tool`` is a tool that
 the conversation's lists do not name, ``no_schema`` one without a schema, or any
-in a conversation without a list; a schema that cannot be read is ``bad_schema``.
+in a conversation without a list; a schema that cannot be read is ``bad_schema``,
+and arguments that fit all but words not known here are ``unchecked``.
 
 Each message is a row of its own with its place (``order_turn``, ``level``,
 ``part``), so a conversation of any length is never gathered. Null text is the
 empty text, null role the role ``unknown``; a null conv_id or turn links with
 nothing. Of calls with the same identifier the first turn has it, the others
 are ``duplicate``; results of no call are ``orphan``; a call in a circle, or
-after one, is ``cycle``. Repeated rows stay.
+after one, is ``cycle``. Repeated rows stay. A text that is not quite JSON (a key
+twice, NaN, a number beyond a double, more than MAX_DEPTH brackets open) is plain
+text; half of a surrogate pair leaves as its escape.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -34,9 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import arrow_schema
+from lakegauge.llm.common import arrow_schema, lean
 from lakegauge.llm.components import stored
 
+# Brackets that may be open at once in a text that is read as JSON.
+MAX_DEPTH = 100
+
 # Schema types and what JSON gives for them.
 _TYPES: dict[str, tuple[type, ...]] = {
     "object": (dict,),
@@ -49,38 +57,93 @@ _TYPES: dict[str, tuple[type, ...]] = {
 }
 
 
-def valid(value: Any, schema: dict[str, Any]) -> bool:
-    """Whether a value fits a JSON schema (types, properties, required,
-    additionalProperties, items, enum, minimum, maximum)."""
+# Schema words that say nothing about what is valid.
+_REMARKS = frozenset(
+    "title description default examples format deprecated readOnly writeOnly "
+    "$schema $id $comment".split()
+)
+# Schema words that are checked here; others make a fitting value ``unchecked``.
+_CHECKED = frozenset(
+    "type enum const properties required additionalProperties items minItems "
+    "maxItems minLength maxLength pattern minimum maximum exclusiveMinimum "
+    "exclusiveMaximum multipleOf anyOf oneOf allOf not".split()
+)
+
+
+def _is(value: Any, kind: str) -> bool:
+    if isinstance(value, bool):
+        return kind == "boolean"
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, _TYPES[kind])
+
+
+def _same(a: Any, b: Any) -> bool:
+    return isinstance(a, bool) == isinstance(b, bool) and a == b
+
+
+def valid(value: Any, schema: dict[str, Any] | bool) -> bool:
+    """Whether a value fits what _CHECKED words of a JSON schema say. A value
+    still to come from another call is not checked."""
+    if isinstance(schema, bool):
+        return schema
+    if is_reference(value):
+        return True
     kinds = schema.get("type")
     if kinds is not None:
         kinds = [kinds] if isinstance(kinds, str) else kinds
-        fits = [isinstance(value, _TYPES[k]) for k in kinds]
-        if isinstance(value, bool):
-            fits = [k == "boolean" for k in kinds]
-        if not any(fits):
+        if not any([_is(value, kind) for kind in kinds]):
             return False
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same(value, v) for v in schema["enum"]):
+        return False
+    if "const" in schema and not _same(value, schema["const"]):
+        return False
+    if not all([valid(value, part) for part in schema.get("allOf", ())]):
+        return False
+    if "anyOf" in schema and not any([valid(value, s) for s in schema["anyOf"]]):
+        return False
+    if "oneOf" in schema and sum([valid(value, s) for s in schema["oneOf"]]) != 1:
+        return False
+    if "not" in schema and valid(value, schema["not"]):
         return False
     if isinstance(value, dict):
-        known = schema.get("properties", {})
-        if any(name not in value for name in schema.get("required", ())):
-            return False
-        if schema.get("additionalProperties") is False and value.keys() - known.keys():
-            return False
-        # A value still to come from another call is not checked.
-        return all(
-            is_reference(item) or valid(item, known[name])
-            for name, item in value.items()
-            if name in known
-        )
-    if isinstance(value, list) and "items" in schema:
-        return all(is_reference(v) or valid(v, schema["items"]) for v in value)
+        return _valid_object(value, schema)
+    if isinstance(value, list):
+        many = schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", math.inf)
+        return many and all([valid(item, schema.get("items", True)) for item in value])
+    if isinstance(value, str):
+        long = schema.get("minLength", 0) <= len(value)
+        long = long and len(value) <= schema.get("maxLength", math.inf)
+        return long and bool(re.search(schema.get("pattern", ""), value))
     if isinstance(value, (int, float)) and not isinstance(value, bool):
-        return schema.get("minimum", value) <= value <= schema.get("maximum", value)
+        above = value > schema.get("exclusiveMinimum", -math.inf)
+        below = value < schema.get("exclusiveMaximum", math.inf)
+        whole = "multipleOf" not in schema or (value / schema["multipleOf"]) % 1 == 0
+        inside = schema.get("minimum", value) <= value <= schema.get("maximum", value)
+        return above and below and whole and inside
     return True
 
 
+def _valid_object(value: dict[str, Any], schema: dict[str, Any]) -> bool:
+    known = schema.get("properties", {})
+    if any(name not in value for name in schema.get("required", ())):
+        return False
+    others = schema.get("additionalProperties", True)
+    return all([valid(item, known.get(name, others)) for name, item in value.items()])
+
+
+def unchecked_words(schema: Any) -> set[str]:
+    """Words of a schema, at any depth, that :func:`valid` leaves out."""
+    if not isinstance(schema, dict):
+        return set()
+    found = schema.keys() - _CHECKED - _REMARKS
+    parts = [*schema.get("properties", {}).values()]
+    parts += [schema.get(name) for name in ("items", "additionalProperties", "not")]
+    for name in ("anyOf", "oneOf", "allOf"):
+        parts += schema.get(name, ())
+    return found.union(*map(unchecked_words, parts))
+
+
 def is_reference(value: Any) -> bool:
     return isinstance(value, dict) and set(value) == {"$ref"} and (
         isinstance(value["$ref"], str)
@@ -96,15 +159,64 @@ def references(value: Any) -> set[str]:
     return set()
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def written(text: str) -> str:
+    """A string as UTF-8 can hold it: halves of a pair as their JSON escapes."""
+    return _LONE.sub(lambda half: f"\\u{ord(half.group()):04x}", text)
+
+
 def canonical(value: Any) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    made = json.dumps(
+        value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False
+    )
+    return written(made)
+
+
+def _once(pairs: list[tuple[str, Any]]) -> dict[str, Any]:
+    found = dict(pairs)
+    if len(found) != len(pairs):
+        raise ValueError("a key stands twice")
+    return found
+
+
+def _finite(text: str) -> float:
+    number = float(text)
+    if math.isinf(number):
+        raise ValueError("beyond a double")
+    return number
+
+
+def _no_number(text: str) -> float:
+    raise ValueError(f"{text} is no JSON")
+
+
+_STRING = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"', re.DOTALL)
+
+
+def _depth(text: str) -> int:
+    """How many brackets outside of strings are open at once, at most."""
+    deepest = depth = 0
+    for sign in re.findall(r"[\[{\]}]", _STRING.sub("", text)):
+        depth += 1 if sign in "[{" else -1
+        deepest = max(deepest, depth)
+    return deepest
 
 
 def _object(text: str) -> dict[str, Any] | None:
-    if not text.lstrip().startswith("{"):
+    """The JSON object that a text is. Text that is none stays plain text: also
+    with a key that stands twice, a number that is none or beyond a double, or
+    more than MAX_DEPTH brackets open."""
+    if not text.lstrip().startswith("{") or _depth(text) > MAX_DEPTH:
         return None
     try:
-        found = json.loads(text)
+        found = json.loads(
+            text,
+            object_pairs_hook=_once,
+            parse_float=_finite,
+            parse_constant=_no_number,
+        )
     except (ValueError, RecursionError):
         return None
     return found if isinstance(found, dict) else None
@@ -125,7 +237,8 @@ def messages_of(role: str | None, text: str | None) -> list[dict[str, Any]]:
             call_id, name = call.get("id"), call.get("name")
             arguments = call.get("arguments")
             if isinstance(arguments, str):
-                arguments = _object(arguments) or arguments
+                parsed = _object(arguments)
+                arguments = arguments if parsed is None else parsed
             whole = {"arguments": arguments, "id": call_id, "name": name}
             needs = sorted(references(arguments))
             key = call_id if isinstance(call_id, str) else None
@@ -146,10 +259,10 @@ def messages_of(role: str | None, text: str | None) -> list[dict[str, Any]]:
 def _message(kind, call_id, needs, body, tool=None, arguments=None) -> dict[str, Any]:
     return {
         "kind": kind,
-        "call_id": call_id,
-        "needs": needs,
+        "call_id": None if call_id is None else written(call_id),
+        "needs": [written(need) for need in needs],
         "message": canonical(body),
-        "tool": tool,
+        "tool": None if tool is None else written(tool),
         "arguments": arguments,
     }
 
@@ -166,7 +279,8 @@ def tools_of(text: str | None) -> list[tuple[str, str | None]] | None:
             tool = tool["function"]
         if isinstance(tool, dict) and isinstance(tool.get("name"), str):
             schema = tool.get("parameters", tool.get("input_schema"))
-            found.append((tool["name"], None if schema is None else canonical(schema)))
+            name = written(tool["name"])
+            found.append((name, None if schema is None else canonical(schema)))
     return found
 
 
@@ -177,9 +291,10 @@ def call_status(arguments: str, schema: str | None) -> str:
     value, kind = json.loads(arguments), json.loads(schema)
     try:
         fits = isinstance(value, dict) and valid(value, kind)
-    except (AttributeError, KeyError, TypeError, RecursionError):
+        left = unchecked_words(kind)
+    except (AttributeError, KeyError, TypeError, ArithmeticError, re.error):
         return "bad_schema"
-    return "ok" if fits else "bad_arguments"
+    return "bad_arguments" if not fits else "unchecked" if left else "ok"
 
 
 _TOOLS = "conv_id bigint, turn bigint, place bigint, tool string, schema string"
@@ -189,6 +304,7 @@ def declared_tools(conversations: DataFrame) -> DataFrame:
     """A row per declaration, and one without a tool per list of tools."""
     target = arrow_schema(_TOOLS)
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
@@ -221,6 +337,7 @@ _MESSAGES = (
 def messages(conversations: DataFrame) -> DataFrame:
     target = arrow_schema(_MESSAGES)
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
@@ -273,6 +390,7 @@ def _judged(
     met = calls.join(changes, meets, "left").drop(changes["conv_id"], changes["tool"])
     met = met.join(lists, "conv_id", "left")
 
+    @lean
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
@@ -368,7 +486,8 @@ def link_tool_calls(
                 WHEN at IS NULL THEN status
                 WHEN struct(turn, part) <> at THEN 'duplicate'
                 WHEN level IS NULL THEN 'cycle'
-                WHEN status = 'ok' AND NOT answered THEN 'unanswered'
+                WHEN status IN ('ok', 'unchecked') AND NOT answered
+                  THEN 'unanswered'
                 ELSE status END AS status""",
         """CASE WHEN kind = 'result' AND at IS NOT NULL
                 THEN greatest(turn, at.turn, at_turn)

@@ -20,11 +20,11 @@ from lakegauge.llm.common import SPACES, per_row
 
 # Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-# What a sentence ends with.
+# What a sentence ends with.
 SENTENCE_END = ".!?…:"
-# Menu separators that stand as words.
+# Menu separators that stand as words.
 SEPARATORS = "|", ">", "»", "·", "•", "/", "::"
-# Phrases of notices that are not part of an article.
+# Phrases of notices that are not part of an article.
 BOILERPLATE = (
     "all rights reserved",
     "released under the mit license",

@@ -3,6 +3,12 @@
 Each stage takes the rows its predecessor kept. All but the last return the
 columns of ``documents``; line dedup cuts the texts (and ``n_chars``) down, the
 last stage returns each document's tokens.
+
+Rows with null or empty text, or without a letter, leave at the first stage. Rows
+that repeat a ``doc_id`` are judged one by one but for the n-gram join, which
+keeps all rows of an id of which one is its group's first, and decontamination,
+which drops all rows of an id of which one has a passage. A null ``doc_id`` is no
+copy of anything. Columns beside those of ``documents`` go through.
 """
 
 from __future__ import annotations

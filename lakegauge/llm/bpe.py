@@ -33,8 +33,8 @@ _WORDS = re.compile(
     rf"|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
 _FAR = re.compile(rf"[^\x00-{chr(NEAR - 1)}]")
-# Entries that a worker's tables may hold before they start anew.
-MAX_ENTRIES = 400_000
+# Entries that a worker's tables may hold before what is rare goes.
+MAX_ENTRIES = 200_000
 
 
 def byte_characters() -> dict[str, int]:
@@ -164,7 +164,8 @@ class TrieEncoder:
 
 
 class Cache:
-    """Encoded words of a worker: ids as text, and the text decoded from them."""
+    """Encoded words of a worker: ids as text, and what is decoded from them
+    where that is not the word itself."""
 
     def __init__(self, trie: TrieEncoder) -> None:
         self.trie = trie
@@ -173,13 +174,21 @@ class Cache:
 
     def add(self, words: set[str]) -> None:
         if len(self.ids) > MAX_ENTRIES:
-            self.ids.clear()
-            self.decoded.clear()
+            # What this group has again is what most groups have.
+            kept = words.intersection(self.ids)
+            self.ids = {word: self.ids[word] for word in kept}
+            self.decoded = {w: self.decoded[w] for w in kept if w in self.decoded}
         new = {word.encode(): word for word in words.difference(self.ids)}
         for data, ids in self.trie.encode_words(new).items():
             self.ids[new[data]] = ",".join(map(str, ids))
             decoded = b"".join(map(self.trie.bytes_of.__getitem__, ids))
-            self.decoded[new[data]] = decoded
+            if decoded != data:
+                self.decoded[new[data]] = decoded
+
+    def decode(self, words: list[str]) -> bytes:
+        if self.decoded:
+            return b"".join([self.decoded.get(w, w.encode()) for w in words])
+        return "".join(words).encode()
 
 
 def cache_of(vocabulary: str) -> Cache:
@@ -211,7 +220,7 @@ def round_trip(
                 decoded.append(words.encode())
             else:
                 ids += map(cache.ids.__getitem__, words)
-                decoded += map(cache.decoded.__getitem__, words)
+                decoded.append(cache.decode(words))
         joined = ",".join(ids)
         back = b"".join(decoded).decode("utf-8", errors="replace")
         made.append(

@@ -104,11 +104,20 @@ def _health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.serving_health(scores, RUN_HOUR)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> Roots:
-    """KPI and serving tables of the readings, written on first use."""
+def _stored(
+    spark: SparkSession, sf_dir: str, table: str, write: Callable[[Roots], None]
+) -> Roots:
+    """Roots with one KPI or serving table of the readings, written on first use."""
+    folder = X.landed_once(
+        spark, sf_dir, f"stored-{table}", lambda base: write(Roots.below(base))
+    )
+    return Roots.below(folder)
+
+
+def _stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The health scores of all hours, as hourly runs keep them."""
 
-    def write(base: str) -> None:
-        roots = Roots.below(base)
+    def write(roots: Roots) -> None:
         hourly = X.readings(spark, sf_dir).selectExpr(
             "*", *timeparts.ingest_columns("timestamp")
         )
@@ -117,10 +126,23 @@ def _stored(spark: SparkSession, sf_dir: str) -> Roots:
         )
         scores = kpis.health_scores(statistics, S.INGEST_COLUMNS)
         write_gold("well_health_scores", scores, roots.gold, None)
+
+    gold = _stored(spark, sf_dir, "scores", write).gold
+    return read_history(spark, gold, "well_health_scores")
+
+
+def _stored_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(roots: Roots) -> None:
         upsert_well_health(spark, roots.well_health, _health(spark, sf_dir))
+
+    return read_well_health(spark, _stored(spark, sf_dir, "health", write).well_health)
+
+
+def _stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(roots: Roots) -> None:
         write_alert_windows(_hourly_alerts(spark, sf_dir), roots.sensor_alerts)
 
-    return Roots.below(X.landed_once(spark, sf_dir, "stored", write))
+    return read_sensor_alerts(spark, _stored(spark, sf_dir, "alerts", write).sensor_alerts)
 
 
 def _hourly_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,8 +394,7 @@ def health_view(spark, sf_dir):
 @_query
 def dash_well_status(spark, sf_dir):
     """From the serving table: the well reaches the file as a filter."""
-    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
-    return serving.well_status(health, "WELL-003")
+    return serving.well_status(_stored_health(spark, sf_dir), "WELL-003")
 
 
 @_query
@@ -432,17 +453,14 @@ def quality_summary(spark, sf_dir):
 @_query
 def serving_counts(spark, sf_dir):
     """Rows of the serving tables; no column of them is read."""
-    roots = _stored(spark, sf_dir)
     return serving.serving_counts(
-        read_well_health(spark, roots.well_health),
-        read_sensor_alerts(spark, roots.sensor_alerts),
+        _stored_health(spark, sf_dir), _stored_alerts(spark, sf_dir)
     )
 
 
 @_query
 def dash_active_alerts(spark, sf_dir):
-    alerts = read_sensor_alerts(spark, _stored(spark, sf_dir).sensor_alerts)
-    return serving.active_alerts(alerts)
+    return serving.active_alerts(_stored_alerts(spark, sf_dir))
 
 
 @_query
@@ -476,9 +494,7 @@ def rolling_avg(spark, sf_dir):
 @_query
 def dash_anomaly_series(spark, sf_dir):
     """From the KPI tables that hourly runs keep, not from readings."""
-    return windows.anomaly_series(
-        read_history(spark, _stored(spark, sf_dir).gold, "well_health_scores")
-    )
+    return windows.anomaly_series(_stored_scores(spark, sf_dir))
 
 
 # Whole runs
@@ -570,14 +586,12 @@ def top_alerts(spark, sf_dir):
 
 @_query
 def lowest_health(spark, sf_dir):
-    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
-    return serving.lowest_health(health)
+    return serving.lowest_health(_stored_health(spark, sf_dir))
 
 
 @_query
 def dash_health_all(spark, sf_dir):
-    health = read_well_health(spark, _stored(spark, sf_dir).well_health)
-    return serving.health_by_well(health)
+    return serving.health_by_well(_stored_health(spark, sf_dir))
 
 
 @_query
